@@ -119,9 +119,7 @@ def fx_one_step_fill(spark, folder):
 @query
 def fx_convert(spark, folder):
     priced = indicators.priced_frames(*_bars_and_rates(spark, folder)).where("own")
-    return rounded(
-        priced.select("ticker", "dt", "open", "high", "low", "close", "adj_close", "volume")
-    )
+    return priced.select("ticker", "dt", *fx.PRICES, "volume")
 
 
 # --- features ---------------------------------------------------------------------
