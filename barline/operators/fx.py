@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barline.plans import frame_window
+from barline.plans import number_rows
 
 PRICES = ("open", "high", "low", "close", "adj_close")
 LOCAL_SUFFIX = ".MX"
@@ -26,27 +26,24 @@ def fx_join(bars: DataFrame, fx: DataFrame) -> DataFrame:
     return bars.join(F.broadcast(by_date), F.col("dt") == F.col("fx_dt")).drop("fx_dt")
 
 
-def fx_fill(framed: DataFrame) -> DataFrame:
+def fx_fill(joined: DataFrame) -> DataFrame:
     """Fill a missing rate with the rate at the ticker's previous bar, one step only.
 
     The step reads the unfilled column, so a second missing rate in a row stays
     missing for that ticker. Where the ticker has no such rate, another ticker
     without a rate on that date may lend its own: the one with the latest
-    previous bar.
+    previous bar. The rows come back numbered (``rn`` of ``n``).
 
     The lenders are one row per date, hence the broadcast (see ``fx_join``).
     """
-    w = frame_window()
-    lagged = framed.withColumns(
-        {"_prev_fx": F.lag("fx_close").over(w), "_prev_dt": F.lag("dt").over(w)}
-    )
+    numbered = number_rows(joined, previous={"_prev_fx": "fx_close", "_prev_dt": "dt"})
     lenders = (
-        lagged.where(F.col("own") & F.col("fx_close").isNull() & F.col("_prev_fx").isNotNull())
+        numbered.where(F.col("fx_close").isNull() & F.col("_prev_fx").isNotNull())
         .groupBy("dt")
         .agg(F.max_by("_prev_fx", "_prev_dt").alias("_lent"))
     )
     return (
-        lagged.join(F.broadcast(lenders), "dt", "left")
+        numbered.join(F.broadcast(lenders), "dt", "left")
         .withColumn("fx_close", F.coalesce("fx_close", "_prev_fx", "_lent"))
         .drop("_prev_fx", "_prev_dt", "_lent")
     )

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from barline.functions import population_std, safe_div
 from barline.operators.fx import fx_convert, fx_fill, fx_join
-from barline.plans import BLOCK_ROWS, frame_window, number_rows, with_frames
+from barline.plans import BLOCK_ROWS, frame_window, rolling_means, with_frames
 
 WINDOWS = (20, 10)
 FAMILIES = ("ma", "rv", "vol_z", "atr_n", "rsi_n", "adx_n")
@@ -80,9 +80,8 @@ def directional_index(di_pos: Column, di_neg: Column) -> Column:
 
 
 def look_back(windows: Sequence[int] = WINDOWS) -> int:
-    """Earlier rows a feature depends on: a mean of means, plus the previous close
-    and the rate that filled it."""
-    return 2 * (max(windows) - 1) + 2
+    """Earlier rows a feature depends on: a mean of means, and the close before."""
+    return 2 * (max(windows) - 1) + 1
 
 
 def priced_frames(
@@ -91,10 +90,13 @@ def priced_frames(
     windows: Sequence[int] = WINDOWS,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """Bars with a rate, numbered, framed and converted to the model currency."""
-    numbered = number_rows(fx_join(bars, fx))
-    framed = with_frames(numbered, before=look_back(windows), after=1, block_rows=block_rows)
-    return fx_convert(fx_fill(framed))
+    """Bars with a rate, filled, converted to the model currency, numbered and framed."""
+    return with_frames(
+        fx_convert(fx_fill(fx_join(bars, fx))),
+        before=look_back(windows),
+        after=1,
+        block_rows=block_rows,
+    )
 
 
 def daily_terms(framed: DataFrame) -> DataFrame:
@@ -122,27 +124,23 @@ def daily_terms(framed: DataFrame) -> DataFrame:
 
 def rolling_features(terms: DataFrame, windows: Sequence[int] = WINDOWS) -> DataFrame:
     """Moving average, volatility, volume z-score, ATR, RSI, DI, DX and ADX per window."""
-    w = frame_window()
-    means = {
-        "m_ret": F.col("log_ret"),
-        "m_ret2": F.col("log_ret") * F.col("log_ret"),
-        "m_vol": F.col("vol"),
-        "m_vol2": F.col("vol") * F.col("vol"),
-        "atr": F.col("tr"),
-        "m_gain": F.col("gain"),
-        "m_loss": F.col("loss"),
-        "m_pos": F.col("dm_pos"),
-        "m_neg": F.col("dm_neg"),
-    }
-    rolled = terms.withColumns(
+    ret, vol = F.col("log_ret"), F.col("vol")
+    rolled = rolling_means(
+        terms,
         {
-            **{
-                f"{name}_{k}": F.avg(value).over(w.rowsBetween(1 - k, 0))
-                for k in windows
-                for name, value in means.items()
-            },
-            "next_ret": F.lead("log_ret").over(w),
-        }
+            "m_ret": ret,
+            "m_ret2": ret * ret,
+            "m_vol": vol,
+            "m_vol2": vol * vol,
+            "atr": F.col("tr"),
+            "m_gain": F.col("gain"),
+            "m_loss": F.col("loss"),
+            "m_pos": F.col("dm_pos"),
+            "m_neg": F.col("dm_neg"),
+        },
+        {("m_ret", "m_ret2"): ret, ("m_vol", "m_vol2"): vol, ("atr",): F.col("tr")},
+        windows,
+        extra={"next_ret": F.lead("log_ret").over(frame_window())},
     )
 
     def at(name: str, k: int) -> Column:
@@ -167,11 +165,12 @@ def rolling_features(terms: DataFrame, windows: Sequence[int] = WINDOWS) -> Data
     ).withColumns(
         {f"dx_{k}": directional_index(F.col(f"di_pos_{k}"), F.col(f"di_neg_{k}")) for k in windows}
     )
-    return derived.withColumns(
-        {
-            f"adx_n_{k}": F.avg(f"dx_{k}").over(w.rowsBetween(1 - k, 0)) / F.lit(100.0)
-            for k in windows
-        }
+    index = {f"m_dx_{k}": F.col(f"dx_{k}") for k in windows}
+    smoothed = rolling_means(
+        derived, index, {(name,): value for name, value in index.items()}, windows
+    )
+    return smoothed.withColumns(
+        {f"adx_n_{k}": F.col(f"m_dx_{k}_{k}") / F.lit(100.0) for k in windows}
     )
 
 

@@ -8,6 +8,7 @@ from barline.plans.blocks import (
     with_frames,
 )
 from barline.plans.landing import land, shared_folder
+from barline.plans.rolling import rolling_means
 
 __all__ = [
     "BLOCK_ROWS",
@@ -16,6 +17,7 @@ __all__ = [
     "frame_window",
     "land",
     "number_rows",
+    "rolling_means",
     "running_totals",
     "shared_folder",
     "with_frames",

@@ -16,7 +16,7 @@ The only windows over a whole ticker run on one row per bucket or block.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -52,21 +52,26 @@ def number_rows(
     order: str = "dt",
     row: str = "rn",
     total: str = "n",
+    previous: Mapping[str, str] | None = None,
     step_seconds: int = 3_600,
 ) -> DataFrame:
     """Add the row number within ``key`` by ``order`` and the row count of ``key``.
 
     ``(key, order)`` must be unique. Counts per (key, time bucket) are combined
     before the shuffle; their running sum gives each bucket its first number, and
-    the sort only sees one bucket at a time. ``step_seconds`` is the bar length
-    where ``order`` is a timestamp.
+    the sort only sees one bucket at a time. ``previous`` adds ``{new: column}``
+    of the row before; a bucket's first row takes it from the last row of the
+    bucket before. ``step_seconds`` is the bar length where ``order`` is a timestamp.
     """
-    key = list(key)
+    key, previous = list(key), dict(previous or {})
     bucketed = df.withColumn("_bucket", _time_bucket(df, order, step_seconds))
     by_bucket = Window.partitionBy(*key).orderBy("_bucket")
     starts = (
         bucketed.groupBy(*key, "_bucket")
-        .agg(F.count(F.lit(1)).alias("_rows"))
+        .agg(
+            F.count(F.lit(1)).alias("_rows"),
+            *[F.max_by(col, order).alias(f"_last_{new}") for new, col in previous.items()],
+        )
         .select(
             *key,
             "_bucket",
@@ -75,13 +80,32 @@ def number_rows(
                 F.lit(0),
             ).alias("_before"),
             F.sum("_rows").over(Window.partitionBy(*key)).alias(total),
+            *[F.lag(f"_last_{new}").over(by_bucket).alias(f"_last_{new}") for new in previous],
         )
     )
     inside = Window.partitionBy(*key, "_bucket").orderBy(order)
-    return (
-        bucketed.join(starts, [*key, "_bucket"])
-        .withColumn(row, F.row_number().over(inside) + F.col("_before"))
-        .drop("_bucket", "_before")
+    numbered = bucketed.join(starts, [*key, "_bucket"]).withColumns(
+        {
+            "_place": F.row_number().over(inside),
+            **{f"_prev_{new}": F.lag(col).over(inside) for new, col in previous.items()},
+        }
+    )
+    return numbered.withColumns(
+        {
+            row: F.col("_place") + F.col("_before"),
+            **{
+                new: F.when(F.col("_place") == 1, F.col(f"_last_{new}")).otherwise(
+                    F.col(f"_prev_{new}")
+                )
+                for new in previous
+            },
+        }
+    ).drop(
+        "_bucket",
+        "_before",
+        "_place",
+        *[f"_last_{new}" for new in previous],
+        *[f"_prev_{new}" for new in previous],
     )
 
 

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from barline import sources
 from barline.operators import fx, indicators, labels, ledger, measures, regime, samples
-from barline.plans import number_rows, with_frames
 from workload import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -112,13 +111,13 @@ def fx_inner_join(spark, folder):
 
 @query
 def fx_one_step_fill(spark, folder):
-    framed = with_frames(number_rows(fx.fx_join(*_bars_and_rates(spark, folder))), before=1)
-    return fx.fx_fill(framed).where("own").select("ticker", "dt", "fx_close")
+    filled = fx.fx_fill(fx.fx_join(*_bars_and_rates(spark, folder)))
+    return filled.select("ticker", "dt", "fx_close")
 
 
 @query
 def fx_convert(spark, folder):
-    priced = indicators.priced_frames(*_bars_and_rates(spark, folder)).where("own")
+    priced = fx.fx_convert(fx.fx_fill(fx.fx_join(*_bars_and_rates(spark, folder))))
     return priced.select("ticker", "dt", *fx.PRICES, "volume")
 
 

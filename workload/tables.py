@@ -63,7 +63,10 @@ def wide_ticker() -> Column:
 
 
 def trades(spark: SparkSession, folder: str, ticker: Column) -> DataFrame:
-    """One trade per line item; order key, line number and price order a day's trades."""
+    """One trade per line item; order key, line number and price order a day's trades.
+
+    A price is a whole number of 1/10000, so it can be part of the order key.
+    """
     items = table(spark, folder, "lineitem")
     parts = table(spark, folder, "part").select("p_partkey", "p_type", ticker.alias("ticker"))
     swing = F.when(F.col("p_type").isin(*CALM_TYPES), F.lit(0.5)).otherwise(F.lit(20.0))
@@ -71,13 +74,13 @@ def trades(spark: SparkSession, folder: str, ticker: Column) -> DataFrame:
     line = F.col("l_orderkey") * F.lit(8) + F.col("l_linenumber")
     return (
         items.join(parts, F.col("l_partkey") == F.col("p_partkey"))
-        .withColumn("price", F.round(F.lit(1000.0) + swing * unit, 4))
+        .withColumn("units", F.floor((F.lit(1000.0) + swing * unit) * 10_000 + F.lit(0.5)))
         .select(
             "ticker",
             F.col("l_shipdate").cast("date").alias("dt"),
-            "price",
+            (F.col("units") / F.lit(10_000.0)).alias("price"),
             F.col("l_quantity").alias("qty"),
-            order_key(line, F.round(F.col("price") * 10_000)).alias("seq"),
+            order_key(line, F.col("units")).alias("seq"),
         )
     )
 
