@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barline import sources
-from barline.operators import fx, indicators, labels, ledger, measures, regime, samples
+from barline import sources, streaming
+from barline.operators import fx, indicators, labels, ledger, measures, model, regime, samples
+from barline.plans.landing import new_path
 from workload import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -402,3 +403,60 @@ def cost_impact(spark, folder):
 @query
 def best_asset(spark, folder):
     return rounded(measures.best_asset(*_star(spark, folder)))
+
+
+# --- model ------------------------------------------------------------------------
+
+
+def _samples(spark, folder) -> DataFrame:
+    return tables.staged(
+        spark, folder, "samples", lambda: samples.sequence_samples(_scaled(spark, folder))
+    )
+
+
+@query
+def model_scores_pooled(spark, folder):
+    rows = _samples(spark, folder)
+    return model.pooled_scores(rows, samples.class_weights(rows))
+
+
+@query
+def model_scores_per_ticker(spark, folder):
+    return model.ticker_scores(_samples(spark, folder))
+
+
+@query
+def model_strategy_fact(spark, folder):
+    """The whole chain from bars to the ledger of a fitted model."""
+    scores = model_scores_pooled(spark, folder)
+    evaluation = ledger.evaluation_rows(tables.staged_split(spark, folder))
+    return ledger.strategy_fact(ledger.with_scores(evaluation, scores)).drop("rn", "n")
+
+
+# --- streams ----------------------------------------------------------------------
+
+
+@query
+def stream_hourly_bars(spark, folder):
+    """All events as a file stream; must equal the batch bars."""
+    source = tables.table(spark, folder, "events").schema
+    events = (
+        spark.readStream.schema(source).option("pathGlobFilter", "events.parquet").parquet(folder)
+    )
+    out, checkpoint = new_path(spark, "stream-bars"), new_path(spark, "stream-bars-state")
+    events = events.withColumn("ts", F.col("ts").cast("timestamp"))  # watermarks need the type
+    bars = streaming.windowed_bars(tables.event_ticks(events))
+    streaming.run_available(bars, streaming.versioned_sink(out), checkpoint)
+    kept = streaming.latest_versions(spark, out, ["ticker", "ts"])
+    return kept.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+@query
+def stream_latest_signal(spark, folder):
+    """The landed fact as a file stream, two files per batch; must equal the batch signals."""
+    fact = tables.staged_fact(spark, folder)
+    (path,) = {f.rsplit("/", 1)[0] for f in fact.inputFiles()}
+    stream = spark.readStream.schema(fact.schema).option("maxFilesPerTrigger", 2).parquet(path)
+    out, checkpoint = new_path(spark, "stream-signals"), new_path(spark, "stream-signals-state")
+    streaming.run_available(stream, streaming.keep_latest_signals(out), checkpoint, mode="append")
+    return streaming.signals(spark, out)
