@@ -141,7 +141,11 @@ def label_rows(
 
     ``features`` is read twice (summary and rows): pass a landed table.
     """
-    blocked = features.withColumn("block", block_of(F.col("rn"), block_rows))
+    # one exchange on (ticker, block) serves every window and the join below; left to the
+    # first window, which also splits by known returns, it would take a second one
+    blocked = features.withColumn("block", block_of(F.col("rn"), block_rows)).repartition(
+        "ticker", "block"
+    )
     facts = _block_facts(blocked, threshold, band_share)
     w = frame_window()
     so_far = w.rowsBetween(Window.unboundedPreceding, 0)

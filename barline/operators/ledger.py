@@ -100,7 +100,7 @@ def cost_columns(
     """Add ``fee`` (any position change; none on the first row), ``interest`` and ``borrow``.
 
     All three scale with the leverage; a ticker without a known volatility pays
-    the volatile rate.
+    the volatile rate. The ``block`` of the frames stays for the running sums.
     """
     framed = with_frames(positioned, before=1, block_rows=block_rows)
     previous = F.coalesce(F.lag("pos").over(frame_window()), F.col("pos"))
@@ -124,7 +124,7 @@ def cost_columns(
                 ),
             }
         )
-        .drop("_previous", "own", "block")
+        .drop("_previous", "own")
     )
 
 

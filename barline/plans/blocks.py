@@ -148,10 +148,13 @@ def running_totals(
     """Add ``{new: column}`` running sums within ``key`` by ``row``.
 
     Block sums are combined before the shuffle; the window over a whole series
-    sees one row per block.
+    sees one row per block. A table that comes from a window over ``(key, block)``
+    keeps its ``block`` column and is not exchanged again.
     """
     key = list(key)
-    blocked = df.withColumn("block", block_of(F.col(row), block_rows))
+    blocked = (
+        df if "block" in df.columns else df.withColumn("block", block_of(F.col(row), block_rows))
+    )
     earlier = (
         Window.partitionBy(*key).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     )
