@@ -26,17 +26,20 @@ def fx_join(bars: DataFrame, fx: DataFrame) -> DataFrame:
     return bars.join(F.broadcast(by_date), F.col("dt") == F.col("fx_dt")).drop("fx_dt")
 
 
-def fx_fill(joined: DataFrame) -> DataFrame:
+def fx_fill(joined: DataFrame, one_block: bool = False) -> DataFrame:
     """Fill a missing rate with the rate at the ticker's previous bar, one step only.
 
     The step reads the unfilled column, so a second missing rate in a row stays
     missing for that ticker. Where the ticker has no such rate, another ticker
     without a rate on that date may lend its own: the one with the latest
-    previous bar. The rows come back numbered (``rn`` of ``n``).
+    previous bar. The rows come back numbered (``rn`` of ``n``); for ``one_block``
+    see ``number_rows``.
 
     The lenders are one row per date, hence the broadcast (see ``fx_join``).
     """
-    numbered = number_rows(joined, previous={"_prev_fx": "fx_close", "_prev_dt": "dt"})
+    numbered = number_rows(
+        joined, previous={"_prev_fx": "fx_close", "_prev_dt": "dt"}, one_block=one_block
+    )
     lenders = (
         numbered.where(F.col("fx_close").isNull() & F.col("_prev_fx").isNotNull())
         .groupBy("dt")

@@ -1,7 +1,7 @@
 """Rolling technical features over 20 and 10 bars.
 
-All features share one window specification, ``(ticker, block)`` by row number:
-one exchange and one sort serve the lags, the rolling means and the mean of the
+All features share one window specification, ``(ticker, block)`` by date: one
+exchange and one sort serve the lags, the rolling means and the mean of the
 rolling directional index.
 """
 
@@ -14,7 +14,13 @@ from pyspark.sql import functions as F
 
 from barline.functions import population_std, safe_div
 from barline.operators.fx import fx_convert, fx_fill, fx_join
-from barline.plans import BLOCK_ROWS, frame_window, rolling_means, with_frames
+from barline.plans import (
+    BLOCK_ROWS,
+    fits_one_block,
+    frame_window,
+    rolling_means,
+    with_frames,
+)
 
 WINDOWS = (20, 10)
 FAMILIES = ("ma", "rv", "vol_z", "atr_n", "rsi_n", "adx_n")
@@ -90,18 +96,26 @@ def priced_frames(
     windows: Sequence[int] = WINDOWS,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """Bars with a rate, filled, converted to the model currency, numbered and framed."""
+    """Bars with a rate, filled, converted to the model currency, numbered and framed.
+
+    A ticker has one bar per date and keeps only dates with a rate row, so the
+    number of rates bounds every series. Up to ``block_rows`` rates (179 years of
+    days) a ticker is one block; beyond that it is split.
+    """
+    short = fits_one_block(fx, block_rows)
+    filled = fx_fill(fx_join(bars, fx), one_block=short)
     return with_frames(
-        fx_convert(fx_fill(fx_join(bars, fx))),
+        fx_convert(filled),
         before=look_back(windows),
         after=1,
         block_rows=block_rows,
+        one_block=short,
     )
 
 
 def daily_terms(framed: DataFrame) -> DataFrame:
     """Per-bar inputs of the rolling means: return, true range, gain, loss, moves."""
-    w = frame_window()
+    w = frame_window("dt")
     lagged = framed.withColumns(
         {f"prev_{c}": F.lag(c).over(w) for c in ("close", "high", "low")}
     )
@@ -140,7 +154,7 @@ def rolling_features(terms: DataFrame, windows: Sequence[int] = WINDOWS) -> Data
         },
         {("m_ret", "m_ret2"): ret, ("m_vol", "m_vol2"): vol, ("atr",): F.col("tr")},
         windows,
-        extra={"next_ret": F.lead("log_ret").over(frame_window())},
+        extra={"next_ret": F.lead("log_ret").over(frame_window("dt"))},
     )
 
     def at(name: str, k: int) -> Column:

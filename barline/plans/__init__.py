@@ -2,6 +2,7 @@ from barline.plans.blocks import (
     BLOCK_ROWS,
     attach_per_key,
     block_of,
+    fits_one_block,
     frame_window,
     number_rows,
     running_totals,
@@ -14,6 +15,7 @@ __all__ = [
     "BLOCK_ROWS",
     "attach_per_key",
     "block_of",
+    "fits_one_block",
     "frame_window",
     "land",
     "number_rows",

@@ -11,7 +11,9 @@ computation here is split into blocks of at most ``BLOCK_ROWS`` consecutive rows
 * ``attach_per_key`` a per-ticker row joined on ``(ticker, block)``, so that the
   join key of a hot ticker is spread as well.
 
-The only windows over a whole ticker run on one row per bucket or block.
+The only windows over a whole ticker run on one row per bucket or block. Where every
+series is known to fit into one block (``fits_one_block``), the same functions take
+the whole series as block 0 and need a single exchange.
 """
 
 from __future__ import annotations
@@ -35,6 +37,14 @@ def block_of(position: Column, block_rows: int = BLOCK_ROWS) -> Column:
     return F.floor((position - F.lit(1)) / F.lit(block_rows))
 
 
+def fits_one_block(steps: DataFrame, block_rows: int = BLOCK_ROWS) -> bool:
+    """Whether a series with at most one row per row of ``steps`` fits into one block.
+
+    ``steps`` is the small table of time steps; it is counted here and now.
+    """
+    return steps.count() <= block_rows
+
+
 def _time_bucket(df: DataFrame, order: str, step_seconds: int) -> Column:
     kind = df.schema[order].dataType
     if isinstance(kind, T.DateType):
@@ -54,6 +64,7 @@ def number_rows(
     total: str = "n",
     previous: Mapping[str, str] | None = None,
     step_seconds: int = 3_600,
+    one_block: bool = False,
 ) -> DataFrame:
     """Add the row number within ``key`` by ``order`` and the row count of ``key``.
 
@@ -62,8 +73,18 @@ def number_rows(
     the sort only sees one bucket at a time. ``previous`` adds ``{new: column}``
     of the row before; a bucket's first row takes it from the last row of the
     bucket before. ``step_seconds`` is the bar length where ``order`` is a timestamp.
+    With ``one_block`` a series is short enough for a plain window.
     """
     key, previous = list(key), dict(previous or {})
+    if one_block:
+        series = Window.partitionBy(*key)
+        ordered = series.orderBy(order)
+        return df.withColumns(
+            {
+                row: F.row_number().over(ordered).cast("bigint"),
+                **{new: F.lag(col).over(ordered) for new, col in previous.items()},
+            }
+        ).withColumn(total, F.count(F.lit(1)).over(series))
     bucketed = df.withColumn("_bucket", _time_bucket(df, order, step_seconds))
     by_bucket = Window.partitionBy(*key).orderBy("_bucket")
     starts = (
@@ -116,6 +137,7 @@ def with_frames(
     row: str = "rn",
     total: str = "n",
     block_rows: int = BLOCK_ROWS,
+    one_block: bool = False,
 ) -> DataFrame:
     """Add ``block`` and ``own``, with copies of the rows a block's frames reach.
 
@@ -123,6 +145,8 @@ def with_frames(
     after it or ends at most ``after`` rows ahead of it; ``own`` marks its home
     block. Of ``block_rows`` rows only ``before + after`` are copied.
     """
+    if one_block:
+        return df.withColumns({"block": F.lit(0).cast("bigint"), "own": F.lit(True)})
     zero_based = F.col(row) - F.lit(1)
     first = F.greatest(F.lit(0), F.floor((zero_based - F.lit(after)) / F.lit(block_rows)))
     last = F.least(

@@ -18,19 +18,20 @@ def rolling_means(
     windows: Sequence[int],
     extra: Mapping[str, Column] | None = None,
     row: str = "rn",
+    order: str = "dt",
 ) -> DataFrame:
     """Add ``{name}_{k}``: the mean of the last ``k`` rows of each value, for every window.
 
     NULLs are left out. ``known`` maps the names that may be NULL to a column that
     is NULL with them; the other values never are. ``extra`` columns are computed
-    in the same window node.
+    in the same window node. ``row`` is the row number within the series.
 
     Spark adds up a sliding frame from scratch for every row, so only the shortest
     window is summed, and a window that is a multiple of it adds the sums of 10,
     20, ... rows earlier. That is still a plain sum of the frame's values, where a
     difference of running sums would lose digits.
     """
-    w = frame_window(row)
+    w = frame_window(order)
     base = min(windows)
     direct = [base, *[k for k in windows if k % base]]
     count_of = {name: f"_rows_{i}" for i, names in enumerate(known) for name in names}

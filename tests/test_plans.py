@@ -4,6 +4,7 @@ import re
 
 import pytest
 
+from barline.operators import indicators
 from workload import tables
 from workload.queries import QUERIES
 
@@ -34,9 +35,14 @@ def test_no_cross_joins_and_no_python_rows(spark, name):
         assert word not in text, word
 
 
+def features_plan(spark, **options):
+    bars, rates = tables.staged_bars(spark, FOLDER), tables.staged_rates(spark, FOLDER)
+    return plan(indicators.master_features(bars, rates, **options))
+
+
 def test_windows_over_whole_tickers_see_summaries_only(spark):
-    """A window partitioned by the ticker alone sits on the counts per bucket, never on bars."""
-    text = plan(QUERIES["master_features"](spark, FOLDER))
+    """Long series: a window partitioned by the ticker alone sits on counts, never on bars."""
+    text = features_plan(spark, block_rows=1_000)
     windows = [line for line in text.splitlines() if re.search(r"\bWindow \[", line)]
     assert windows
     for line in windows:
@@ -44,11 +50,14 @@ def test_windows_over_whole_tickers_see_summaries_only(spark):
         assert keys in ("ticker, block", "ticker, _bucket") or (
             keys == "ticker" and ("_rows" in line or "_last" in line)
         ), line
+    assert exchanges(text).count("ticker, block") == 1
 
 
-def test_features_take_one_exchange_for_all_indicators(spark):
-    text = plan(QUERIES["master_features"](spark, FOLDER))
-    assert exchanges(text).count("ticker, block") == 1
+def test_features_of_short_series_take_one_exchange_and_one_sort(spark):
+    """With fewer dates than a block holds, main path and lenders shuffle the bars once each."""
+    text = features_plan(spark)
+    assert exchanges(text).count("ticker") == 2
+    assert len(re.findall(r"[- ]Sort \[", text)) == 2
     assert "SortMergeJoin" not in text
 
 
