@@ -460,3 +460,24 @@ def stream_latest_signal(spark, folder):
     out, checkpoint = new_path(spark, "stream-signals"), new_path(spark, "stream-signals-state")
     streaming.run_available(stream, streaming.keep_latest_signals(out), checkpoint, mode="append")
     return streaming.signals(spark, out)
+
+
+# --- long series: the same operators with small blocks -------------------------------
+
+
+@query
+def master_features_split(spark, folder):
+    """Every ticker cut into blocks of 500 bars; must equal the features of whole series."""
+    table = indicators.master_features(*_bars_and_rates(spark, folder), block_rows=500)
+    return rounded(table.drop("rn", "n", "next_ret"))
+
+
+@query
+def label_next_split(spark, folder):
+    features = tables.staged_features(spark, folder)
+    return labels.label_rows(features, block_rows=300).select("ticker", "dt", "label", "label_next")
+
+
+@query
+def strategy_fact_split(spark, folder):
+    return rounded(ledger.strategy_fact(_scored(spark, folder), block_rows=64).drop("rn", "n"))
