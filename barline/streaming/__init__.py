@@ -1,7 +1,14 @@
-from barline.streaming.bars import latest_versions, run_available, versioned_sink, windowed_bars
+from barline.streaming.bars import (
+    ingest_bars,
+    latest_versions,
+    run_available,
+    versioned_sink,
+    windowed_bars,
+)
 from barline.streaming.signals import keep_latest_signals, signals
 
 __all__ = [
+    "ingest_bars",
     "keep_latest_signals",
     "latest_versions",
     "run_available",

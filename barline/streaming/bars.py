@@ -7,6 +7,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barline.sources import canonical_bars
+
 
 def windowed_bars(
     ticks: DataFrame, length: str = "1 hour", delay: str = "1 day", name: str = "ts"
@@ -39,6 +41,22 @@ def windowed_bars(
     )
 
 
+def ingest_bars(stream: DataFrame, path: str, checkpoint: str, ticker: str | None = None) -> None:
+    """Append what a stream of vendor bar files holds now, in canonical columns, to a table.
+
+    The file sink's log makes each input file count once, also after a restart.
+    """
+    (
+        canonical_bars(stream, ticker)
+        .writeStream.format("parquet")
+        .outputMode("append")
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start(path)
+        .awaitTermination()
+    )
+
+
 def versioned_sink(path: str) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` writer: one folder per micro-batch, replaced if the batch is retried."""
 

@@ -74,6 +74,23 @@ def test_ticker_scores_match_the_closed_form(sample_table):
             assert np.allclose([g.p_short, g.p_cash, g.p_long], odds, atol=1e-8)
 
 
+def test_ingest_takes_each_file_once(spark, tmp_path):
+    schema = "Date date, `Adj Close` double, High double, Low double, Close double, Open double, Volume bigint"
+    header = "Date,Adj Close,High,Low,Close,Open,Volume\n"
+    source, out, state = (str(tmp_path / p) for p in ("in", "out", "cp"))
+    (tmp_path / "in").mkdir()
+
+    def run(name, line):
+        (tmp_path / "in" / name).write_text(header + line)
+        stream = spark.readStream.schema(schema).option("header", "true").csv(source)
+        streaming.ingest_bars(stream, out, state, ticker="X")
+        return spark.read.parquet(out).orderBy("dt").collect()
+
+    assert len(run("a.csv", "2020-01-02,1.5,3,1,2,1,10\n")) == 1
+    got = run("b.csv", "2020-01-03,2.5,4,2,3,NaN,20\n")
+    assert [(r.ticker, r.close, r.open, r.volume) for r in got] == [("X", 2.0, 1.0, 10), ("X", 3.0, None, 20)]
+
+
 def test_streamed_bars_equal_batch_bars(spark, tmp_path):
     rng = random.Random(2)
     rows = [(rng.choice("ab"), i * 37, i, rng.uniform(1, 9)) for i in range(1500)]

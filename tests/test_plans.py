@@ -10,7 +10,7 @@ from workload.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 MODELS = {"model_scores_pooled", "model_scores_per_ticker", "model_strategy_fact"}
-STREAMS = {"stream_hourly_bars", "stream_latest_signal"}
+STREAMS = {"stream_ingest_bars", "stream_hourly_bars", "stream_latest_signal"}
 # parts of master_features, label_next and strategy_fact
 PARTS = {
     "moving_avgs", "rolling_vol", "volume_z", "true_range", "atr_norm", "rsi_norm", "dir_movement",

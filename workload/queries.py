@@ -436,6 +436,17 @@ def model_strategy_fact(spark, folder):
 # --- streams ----------------------------------------------------------------------
 
 
+@query
+def stream_ingest_bars(spark, folder):
+    """The landed bar files as a stream, appended to another table."""
+    bars = tables.staged_bars(spark, folder)
+    (path,) = {f.rsplit("/", 1)[0] for f in bars.inputFiles()}
+    stream = spark.readStream.schema(bars.schema).option("maxFilesPerTrigger", 4).parquet(path)
+    out, checkpoint = new_path(spark, "ingest"), new_path(spark, "ingest-state")
+    streaming.ingest_bars(stream, out, checkpoint)
+    return spark.read.schema(bars.schema).parquet(out)
+
+
 @query
 def stream_hourly_bars(spark, folder):
     """All events as a file stream; must equal the batch bars."""
