@@ -15,7 +15,7 @@ BAR_SCHEMA = (
     "adj_close double, volume bigint"
 )
 
-# Vendor header -> canonical column.
+# Vendor header -> canonical column.
 VENDOR_HEADERS = {
     "Date": "dt",
     "Open": "open",

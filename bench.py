@@ -52,7 +52,7 @@ STAGES = {
     "stage_wide_features": lambda s, d: tables.staged_features(s, d, wide=True),
     "stage_split": tables.staged_split,
     "stage_wide_split": lambda s, d: tables.staged_split(s, d, wide=True),
-    "stage_fact": tables.staged_fact,
+    "stage_fact": lambda s, d: (tables.staged_fact(s, d), tables.staged_assets(s, d)),
 }
 
 

@@ -346,7 +346,7 @@ def strategy_fact_wide(spark, folder):
 
 
 def _star(spark, folder) -> tuple[DataFrame, DataFrame]:
-    return tables.staged_fact(spark, folder), tables.assets(spark, folder)
+    return tables.staged_fact(spark, folder), tables.staged_assets(spark, folder)
 
 
 @query

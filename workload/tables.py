@@ -182,6 +182,10 @@ def staged_rates(spark: SparkSession, folder: str) -> DataFrame:
     return staged(spark, folder, "rates", lambda: rates(spark, folder))
 
 
+def staged_assets(spark: SparkSession, folder: str) -> DataFrame:
+    return staged(spark, folder, "assets", lambda: assets(spark, folder))
+
+
 def staged_features(spark: SparkSession, folder: str, wide: bool = False) -> DataFrame:
     return staged(
         spark,
