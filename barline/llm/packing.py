@@ -32,6 +32,10 @@ END = 1
 REMEMBERED = 300_000
 _SOURCE = ["_none", "_source"]
 
+# Bytes without a printable character of their own stand as characters from 256 on.
+_HIDDEN = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b)]
+_BYTE_CHARS = {b: 256 + i for i, b in enumerate(_HIDDEN)}
+
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
     import public_tokenizers
@@ -43,8 +47,10 @@ class WordTokenizer:
     """Token ids of whole texts, equal to those of the tokenizer for the whole text.
 
     The tokenizer drops white space and no token spans it, so a text's ids are those of
-    its words one after the other. Ids of frequent words are remembered; a text with a
-    character outside Latin-1 goes to the tokenizer as it is.
+    its words one after the other. Ids of frequent words are remembered. A word of
+    letters is one piece for the merges, so the model takes it directly, its bytes as the
+    characters that stand for them. A text with a character outside Latin-1 goes to the
+    tokenizer as it is.
     """
 
     def __init__(self, path: str, end: int = END):
@@ -71,8 +77,14 @@ class WordTokenizer:
                 bare.add(word)
         unseen = [word for word in bare if word not in known]
         fresh: dict[str, bytes] = {}
-        if unseen:
-            fresh = dict(zip(unseen, self._encoded(unseen), strict=True))
+        letters = [word for word in unseen if word.isalpha()]
+        others = [word for word in unseen if not word.isalpha()]
+        tokens = self.tokenizer.model.tokenize
+        for word in letters:
+            found = tokens(word.encode().decode("latin-1").translate(_BYTE_CHARS))
+            fresh[word] = array("H", [x.id for x in found]).tobytes()
+        if others:
+            fresh.update(zip(others, self._encoded(others), strict=True))
         for word, (stem, mark) in tail.items():
             fresh[word] = b"".join(fresh[x] if x in fresh else known[x] for x in (stem, mark))
         room = REMEMBERED - len(known)
@@ -99,7 +111,7 @@ class WordTokenizer:
                 continue
             words = text.lower().split()
             split.append((i, words))
-            unseen.update(set(words) - known.keys())
+            unseen.update(set(words).difference(known))
         if unseen:
             fresh = self._learn(sorted(unseen))
             for i, words in split:
