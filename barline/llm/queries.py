@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barline.llm import classifier, exact, mixing, packing, simhash
+from barline.llm import classifier, exact, mixing, packing, rules, sharding, simhash
 from barline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,16 @@ def op6_exact_dedup(spark, folder):
 ORACLE["op6_exact_dedup"] = exact.ORACLE
 
 
+@query
+def op7_sharding(spark, folder):
+    return sharding.sharded(table(spark, folder, "documents"))
+
+
+@query
+def op8_quality_rules(spark, folder):
+    return rules.judged(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query
 def op9_mixing(spark, folder):
     return mixing.mixed(table(spark, folder, "documents"))
