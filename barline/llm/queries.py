@@ -6,7 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barline.llm import classifier, exact, mixing, packing, rules, sharding, simhash
+from barline.llm import (
+    classifier,
+    exact,
+    html,
+    mixing,
+    packing,
+    rules,
+    sharding,
+    simhash,
+    warc,
+)
 from barline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +30,19 @@ def query(build: Query) -> Query:
     return build
 
 
+@query
+def op2_html_extraction(spark, folder):
+    return html.main_texts(table(spark, folder, "pages"))
+
+
+@query
+def op3_warc(spark, folder):
+    return warc.archived(table(spark, folder, "pages"))
+
+
+ORACLE["op3_warc"] = warc.ORACLE
+
+
 @query
 def op4_simhash(spark, folder):
     return simhash.near_duplicates(table(spark, folder, "documents"))
