@@ -12,6 +12,7 @@ from barline.llm import (
     html,
     mixing,
     packing,
+    pii,
     rules,
     sharding,
     simhash,
@@ -30,6 +31,11 @@ def query(build: Query) -> Query:
     return build
 
 
+@query
+def op1_pii(spark, folder):
+    return pii.personal_data(table(spark, folder, "documents"))
+
+
 @query
 def op2_html_extraction(spark, folder):
     return html.main_texts(table(spark, folder, "pages"))
