@@ -8,7 +8,7 @@ from barline.plans.blocks import (
     running_totals,
     with_frames,
 )
-from barline.plans.landing import land, shared_folder
+from barline.plans.landing import drop_landed, land, landed, shared_folder
 from barline.plans.rolling import rolling_means
 
 __all__ = [
@@ -17,7 +17,9 @@ __all__ = [
     "block_of",
     "fits_one_block",
     "frame_window",
+    "drop_landed",
     "land",
+    "landed",
     "number_rows",
     "rolling_means",
     "running_totals",

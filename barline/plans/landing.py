@@ -3,33 +3,42 @@
 A stage whose result is read more than once is written to the shared folder the
 cluster names in ``spark.checkpoint.dir`` and read back: the lineage ends there,
 a lost executor costs a re-read instead of a re-run, and the next stage sees real
-file sizes, which is what Spark's own broadcast check goes by.
+file sizes, which is what Spark's own broadcast check goes by. Landed tables go with
+the session, or earlier through ``drop_landed``.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Application id -> temporary folder, used only where spark.checkpoint.dir is unset.
-_own_folders: dict[str, str] = {}
+# Application id -> paths written so far.
+_landed: dict[str, list[str]] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``, or a temporary one if it is unset."""
+    """The folder named by ``spark.checkpoint.dir``, else one in the warehouse.
+
+    A local warehouse serves a local master only; elsewhere it is an error.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    app = spark.sparkContext.applicationId
-    if app not in _own_folders:
-        _own_folders[app] = tempfile.mkdtemp(prefix="barline-")
-    return _own_folders[app]
+    folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    if folder.startswith(("/", "file:")) and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{folder}/landed"
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """An unused path in the shared folder; what is written there goes with the session."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _landed.setdefault(spark.sparkContext.applicationId, []).append(path)
+    fs, target = _file(spark, path)
+    fs.deleteOnExit(target)
+    return path
 
 
 def land(df: DataFrame, name: str) -> DataFrame:
@@ -38,3 +47,23 @@ def land(df: DataFrame, name: str) -> DataFrame:
     path = new_path(spark, name)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def landed(spark: SparkSession) -> list[str]:
+    """Paths given out in this session and not dropped yet, oldest first."""
+    return list(_landed.get(spark.sparkContext.applicationId, ()))
+
+
+def drop_landed(spark: SparkSession, paths: Iterable[str] | None = None) -> None:
+    """Delete landed tables; only those that no unfinished result reads any more."""
+    known = _landed.get(spark.sparkContext.applicationId, [])
+    for path in list(known if paths is None else paths):
+        if path in known:
+            fs, target = _file(spark, path)
+            fs.delete(target, True)
+            known.remove(path)
+
+
+def _file(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
