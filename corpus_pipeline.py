@@ -8,17 +8,34 @@ from __future__ import annotations
 
 from barline.llm import classifier, exact, mixing, packing, simhash
 from barline.llm.common import table
-from barline.plans import land
+from barline.plans import drop_landed, land, landed
+
+# Tables the stage before has landed: its result is written when the next one starts.
+_before: list[str] = []
+
+
+def stage(build):
+    """A stage that first drops what the stage before has landed on its way."""
+
+    def run_stage(spark, docs, sf_dir):
+        drop_landed(spark, _before)
+        known = set(landed(spark))
+        result = build(spark, docs, sf_dir)
+        _before[:] = [path for path in landed(spark) if path not in known]
+        return result
+
+    return run_stage
+
 
 STAGES = [
     (
         "quality_classifier",
-        lambda spark, docs, sf_dir: classifier.accepted(docs, table(spark, sf_dir, "labels")),
+        stage(lambda spark, docs, sf: classifier.accepted(docs, table(spark, sf, "labels"))),
     ),
-    ("exact_dedup", lambda spark, docs, sf_dir: exact.without_copies(docs)),
-    ("simhash_near_dedup", lambda spark, docs, sf_dir: simhash.one_of_each(docs)),
-    ("mixing", lambda spark, docs, sf_dir: mixing.mix_documents(docs)),
-    ("packing", lambda spark, docs, sf_dir: packing.packed(docs)),
+    ("exact_dedup", stage(lambda spark, docs, sf: exact.without_copies(docs))),
+    ("simhash_near_dedup", stage(lambda spark, docs, sf: simhash.one_of_each(docs))),
+    ("mixing", stage(lambda spark, docs, sf: mixing.mix_documents(docs))),
+    ("packing", stage(lambda spark, docs, sf: packing.packed(docs))),
 ]
 
 # Scores, fingerprints and token ids have no SQL form; the tests hold run() against a
@@ -28,6 +45,6 @@ ORACLE_SQL = None
 
 def run(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = land(stage(spark, docs, sf_dir), name)
+    for name, build in STAGES[:-1]:
+        docs = land(build(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)
