@@ -248,20 +248,21 @@ def links(
 
     probes = []
     for k, (group, threshold) in enumerate(plan):
-        for side in ("left",) if threshold == 0 else ("left", "right"):
-            around = masks(len(group), threshold) if side == "right" else [0]
-            value = gathered(group)
+        valued = prints.select(
+            "_fp",
+            "_run",
+            F.lit(k).alias("_part"),
+            gathered(group).alias("_value"),
+            F.lit(threshold == 0).alias("_own"),
+        )
+        probes.append(valued.withColumn("_probe", F.lit(False)))
+        if threshold:
+            around = F.explode(F.array(*[F.lit(m).cast("bigint") for m in masks(len(group), threshold)]))
             probes.append(
-                prints.select(
-                    "_fp",
-                    "_run",
-                    F.lit(k).alias("_part"),
-                    F.lit(side == "right").alias("_probe"),
-                    F.explode(F.array(*[value.bitwiseXOR(F.lit(m)) for m in around])).alias("_value")
-                    if len(around) > 1
-                    else value.alias("_value"),
-                    F.lit(threshold == 0).alias("_own"),
-                )
+                valued.withColumn("_mask", around)
+                .withColumn("_value", F.col("_value").bitwiseXOR(F.col("_mask")))
+                .drop("_mask")
+                .withColumn("_probe", F.lit(True))
             )
     rows = probes[0]
     for more in probes[1:]:
