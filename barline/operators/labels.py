@@ -34,10 +34,10 @@ def _known_returns() -> Window:
 
 
 def _usable(k: int) -> Column:
-    """Row past the warm-up of window ``k``, with all its features and a next row."""
-    complete = (F.col("rn") >= k) & (F.col("rn") < F.col("n")) & F.col("log_ret").isNotNull()
-    for family in FAMILIES:
-        complete = complete & F.col(f"{family}_{k}").isNotNull()
+    """Row past the warm-up of window ``k``, with all its features (not NaN) and a next row."""
+    complete = (F.col("rn") >= k) & (F.col("rn") < F.col("n"))
+    for name in ("log_ret", *[f"{family}_{k}" for family in FAMILIES]):
+        complete = complete & F.col(name).isNotNull() & ~F.isnan(name)
     return complete
 
 

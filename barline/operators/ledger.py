@@ -53,9 +53,17 @@ def evaluation_rows(split_rows: DataFrame) -> DataFrame:
 
 
 def with_scores(evaluation: DataFrame, scores: DataFrame) -> DataFrame:
-    """Evaluation rows with ``p_short, p_cash, p_long`` of the same ticker and date."""
-    return evaluation.join(
-        scores.select("ticker", "dt", "p_short", "p_cash", "p_long"), ["ticker", "dt"]
+    """Evaluation rows with ``p_short, p_cash, p_long`` of the same ticker and date.
+
+    A row without scores stays in cash (0, 1, 0): no row is lost and ``rn`` keeps its order.
+    """
+    joined = evaluation.join(
+        scores.select("ticker", "dt", "p_short", "p_cash", "p_long"), ["ticker", "dt"], "left"
+    )
+    unscored = F.col("p_short").isNull() | F.col("p_cash").isNull() | F.col("p_long").isNull()
+    cash = {"p_short": 0.0, "p_cash": 1.0, "p_long": 0.0}
+    return joined.withColumns(
+        {name: F.when(unscored, F.lit(p)).otherwise(F.col(name)) for name, p in cash.items()}
     )
 
 

@@ -16,6 +16,8 @@ from barline.functions.expr import TRADING_DAYS
 INITIAL_INVESTMENT = 100_000.0
 TENDENCY_BARS = 5
 COSTS = ("fee", "interest", "borrow")
+# Class and sector of traded assets that the dimension lacks.
+UNKNOWN = "(unknown)"
 
 
 def filtered(dim: DataFrame, where: Column | str | None = None) -> DataFrame:
@@ -23,9 +25,29 @@ def filtered(dim: DataFrame, where: Column | str | None = None) -> DataFrame:
     return dim if where is None else dim.where(where)
 
 
+def _known(dim: DataFrame) -> DataFrame:
+    return dim.withColumn("_known", F.lit(True))
+
+
+def _named(joined: DataFrame) -> DataFrame:
+    """Class and sector of rows that found no asset."""
+    return joined.withColumns(
+        {
+            c: F.when(F.col("_known"), F.col(c)).otherwise(F.lit(UNKNOWN))
+            for c in ("asset_class", "sector")
+        }
+    ).drop("_known")
+
+
 def star_join(fact: DataFrame, dim: DataFrame, where: Column | str | None = None) -> DataFrame:
-    """Fact rows with class and sector of the assets in context."""
-    return fact.join(filtered(dim, where).select("ticker", "asset_class", "sector"), "ticker")
+    """Fact rows with class and sector of the assets in context.
+
+    Without a filter, rows of assets that the dimension lacks stay, as ``UNKNOWN``.
+    """
+    context = filtered(dim, where).select("ticker", "asset_class", "sector")
+    if where is not None:
+        return fact.join(context, "ticker")
+    return _named(fact.join(_known(context), "ticker", "left"))
 
 
 def _hits() -> Column:
@@ -63,8 +85,13 @@ def ticker_summary(fact: DataFrame) -> DataFrame:
 
 
 def asset_summary(fact: DataFrame, dim: DataFrame, where: Column | str | None = None) -> DataFrame:
-    """One row per asset in context, traded or not, with its measures (NULL if never traded)."""
-    return filtered(dim, where).join(ticker_summary(fact), "ticker", "left")
+    """One row per asset in context, traded or not, with its measures (NULL if never traded).
+
+    Without a filter, traded assets that the dimension lacks have a row as well.
+    """
+    if where is not None:
+        return filtered(dim, where).join(ticker_summary(fact), "ticker", "left")
+    return _named(_known(dim).join(ticker_summary(fact), "ticker", "full"))
 
 
 def accuracy(hits: Column, calls: Column) -> Column:
@@ -224,11 +251,9 @@ def cost_impact(
 ) -> DataFrame:
     """Gross gain, cost parts and net gain per asset, with class subtotals and a grand total."""
     amounts = money(investment)
-    traded = ticker_summary(fact).join(
-        filtered(dim, where).select("ticker", "asset_class"), "ticker"
-    )
     return (
-        traded.withColumns(amounts)
+        star_join(ticker_summary(fact), dim, where)
+        .withColumns(amounts)
         .rollup("asset_class", "ticker")
         .agg(*[F.sum(name).alias(name) for name in amounts])
     )

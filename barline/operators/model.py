@@ -40,14 +40,16 @@ def pooled_scores(
     """
     train = _flat(samples, "train").join(weights.select("ticker", "y", "weight"), ["ticker", "y"])
     test = _flat(samples, "test")
-    scored = []
+    scored, unlearned = [], []
     for win in WINDOWS:
         rows = train.where(F.col("win") == win).select(
             array_to_vector("x").alias("features"),
             (F.col("y") + 1).cast("double").alias("label"),
             "weight",
         )
-        if rows.isEmpty():
+        if rows.isEmpty():  # nothing to learn from: even odds
+            even = [F.lit(1.0 / len(SCORES)).alias(name) for name in SCORES]
+            unlearned.append(test.where(F.col("win") == win).select("ticker", "dt", *even))
             continue
         fit = LogisticRegression(
             family="multinomial", weightCol="weight", maxIter=max_iter, regParam=reg
@@ -68,7 +70,7 @@ def pooled_scores(
         )
     if not scored:
         raise ValueError("no training samples")
-    whole, *rest = scored
+    whole, *rest = scored + unlearned
     for part in rest:
         whole = whole.unionByName(part)
     return whole

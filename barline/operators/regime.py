@@ -11,8 +11,9 @@ CRITICAL_VOL = 0.015
 
 
 def chosen_window(avg_vol: Column, threshold: float = CRITICAL_VOL) -> Column:
-    """10 for a volatile ticker, else 20 (also where no volatility is known)."""
-    return F.when(avg_vol >= F.lit(threshold), F.lit(10)).otherwise(F.lit(20))
+    """10 for a volatile ticker, else 20 (also where the volatility is NULL or NaN)."""
+    volatile = ~F.isnan(avg_vol) & (avg_vol >= F.lit(threshold))
+    return F.when(volatile, F.lit(10)).otherwise(F.lit(20))
 
 
 def training_atr() -> Column:

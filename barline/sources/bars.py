@@ -7,6 +7,7 @@ from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barline.functions import null_if_nan
 
@@ -34,7 +35,7 @@ def canonical_bars(
     ticker: str | Column | None = None,
     headers: Mapping[str, str] = VENDOR_HEADERS,
 ) -> DataFrame:
-    """Rename, order and type the columns of a vendor table; NaN prices become NULL.
+    """Rename, order and type the columns of a vendor table; NaN prices and volumes become NULL.
 
     ``ticker`` is a constant for one-asset files, or a column; by default the
     table's own ``ticker`` column (which may be a partition directory).
@@ -50,11 +51,14 @@ def canonical_bars(
         return F.col(f"`{back.get(name, name)}`")
 
     prices = ("open", "high", "low", "close", "adj_close")
+    volume = source("volume")
+    if isinstance(df.schema[back.get("volume", "volume")].dataType, (T.FloatType, T.DoubleType)):
+        volume = F.when(F.abs(volume) < F.lit(2.0**63), volume)  # neither NaN nor infinite
     return df.select(
         key.cast("string").alias("ticker"),
         source("dt").cast("date").alias("dt"),
         *[null_if_nan(source(p).cast("double")).alias(p) for p in prices],
-        source("volume").cast("bigint").alias("volume"),
+        volume.cast("bigint").alias("volume"),
     )
 
 
@@ -75,6 +79,17 @@ def read_bars(
     return canonical_bars(reader.load(paths if isinstance(paths, str) else list(paths)), ticker)
 
 
+def known_trades(ticks: DataFrame) -> DataFrame:
+    """Trades with NaN as NULL; ``seq`` is NULL where the price is, so it opens no bar."""
+    floating = {f.name for f in ticks.schema if isinstance(f.dataType, (T.FloatType, T.DoubleType))}
+    price, qty = (
+        null_if_nan(F.col(c).cast("double")) if c in floating else F.col(c) for c in ("price", "qty")
+    )
+    return ticks.withColumns(
+        {"price": price, "qty": qty, "seq": F.when(price.isNotNull(), F.col("seq"))}
+    )
+
+
 def build_bars(
     ticks: DataFrame,
     period: Column,
@@ -86,10 +101,12 @@ def build_bars(
     ``ticks`` holds the keys, ``price``, ``qty`` and ``seq``; ``seq`` orders the
     trades of a period and should be a fixed-width type (see ``order_key``), so
     that the aggregate is hash-based and combines before the shuffle. A hot ticker
-    then sends one row per period and task.
+    then sends one row per period and task. A trade without a price (NULL or NaN) counts
+    for the volume only, one without a quantity for the prices only.
     """
     return (
-        ticks.groupBy(*keys, period.alias(name))
+        known_trades(ticks)
+        .groupBy(*keys, period.alias(name))
         .agg(
             F.min_by("price", "seq").alias("open"),
             F.max("price").alias("high"),

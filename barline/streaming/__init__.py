@@ -1,6 +1,8 @@
 from barline.streaming.bars import (
+    bar_parts,
     ingest_bars,
     latest_versions,
+    merged_bars,
     run_available,
     versioned_sink,
     windowed_bars,
@@ -8,9 +10,11 @@ from barline.streaming.bars import (
 from barline.streaming.signals import keep_latest_signals, signals
 
 __all__ = [
+    "bar_parts",
     "ingest_bars",
     "keep_latest_signals",
     "latest_versions",
+    "merged_bars",
     "run_available",
     "signals",
     "versioned_sink",

@@ -8,18 +8,65 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barline.sources import canonical_bars
+from barline.sources.bars import known_trades
+
+
+def bar_parts(path: str, length: str = "1 hour") -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` writer of what each micro-batch of trades adds to its bars.
+
+    No state and no watermark: a part keeps the order keys of its open and close, and
+    ``merged_bars`` puts the parts together, whatever order the trades came in.
+    """
+    write = versioned_sink(path)
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        parts = (
+            known_trades(batch)
+            .groupBy("ticker", F.window("ts", length).alias("_window"))
+            .agg(
+                F.min_by("price", "seq").alias("open"),
+                F.min("seq").alias("open_seq"),
+                F.max("price").alias("high"),
+                F.min("price").alias("low"),
+                F.max_by("price", "seq").alias("close"),
+                F.max("seq").alias("close_seq"),
+                F.sum("qty").alias("volume"),
+            )
+        )
+        write(parts.withColumn("ts", F.col("_window.start")).drop("_window"), batch_id)
+
+    return add
+
+
+def merged_bars(spark: SparkSession, path: str) -> DataFrame:
+    """The bars of all parts so far, as ``build_bars`` makes them from all trades."""
+    return (
+        spark.read.parquet(path)
+        .groupBy("ticker", "ts")
+        .agg(
+            F.min_by("open", "open_seq").alias("open"),
+            F.max("high").alias("high"),
+            F.min("low").alias("low"),
+            F.max_by("close", "close_seq").alias("close"),
+            F.sum("volume").cast("bigint").alias("volume"),
+        )
+        .select(
+            "ticker", "ts", "open", "high", "low", "close", F.col("close").alias("adj_close"), "volume"
+        )
+    )
 
 
 def windowed_bars(
-    ticks: DataFrame, length: str = "1 hour", delay: str = "1 day", name: str = "ts"
+    ticks: DataFrame, delay: str, length: str = "1 hour", name: str = "ts"
 ) -> DataFrame:
-    """The bars of ``build_bars`` over event-time windows of a streaming trade table.
+    """The bars of ``build_bars`` over event-time windows, kept as streaming state.
 
-    The watermark bounds the state to the windows of the last ``delay``; later
-    trades are dropped. Partial aggregates are combined before the shuffle.
+    The watermark bounds the state to the windows of the last ``delay``; trades later
+    than that are dropped, which is why it has no default. ``bar_parts`` drops none.
     """
     return (
-        ticks.withWatermark("ts", delay)
+        known_trades(ticks)
+        .withWatermark("ts", delay)
         .groupBy("ticker", F.window("ts", length).alias("_window"))
         .agg(
             F.min_by("price", "seq").alias("open"),

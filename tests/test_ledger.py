@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from barline.operators import ledger
 from barline.operators.measures import (
+    UNKNOWN,
     alpha_by_class,
     best_asset,
     cost_impact,
@@ -121,7 +122,6 @@ def star(spark):
             row(2, "a", 0, 1.0, 0.03, 0.05, 0.25, 0.15, 3, 3),
             row(1, "b", -1, 1.5, -0.01, 0.04, 0.40, -0.10, 1, 1),
             row(0, "c", 1, 1.0, 0.01, 0.00, 0.05, 0.01, 1, 1),
-            row(0, "off", 1, 1.0, 0.01, 0.01, 9.0, 9.0, 1, 1),  # not in the dimension
         ],
         FACT,
     )
@@ -142,6 +142,19 @@ def test_scorecard_sums_last_values(star):
     assert math.isclose(r.total_cost, 100_000 * 5 * 0.003)
 
 
+def test_asset_outside_the_dimension_counts_without_a_filter(star):
+    fact, dim = star
+    off = fact.where("ticker = 'c'").withColumns(
+        {"ticker": F.lit("off"), "cum_net": F.lit(9.0), "bm_ret": F.lit(0.01)}
+    )
+    fact = fact.unionByName(off)
+    assert math.isclose(kpi_scorecard(fact, dim).first().cum_net, 9.0 + 0.25 + 0.40 + 0.05)
+    assert math.isclose(kpi_scorecard(fact, dim, where="sector = 'metal'").first().cum_net, 0.05)
+    costs = {(r.asset_class, r.ticker): r for r in cost_impact(fact, dim).collect()}
+    assert math.isclose(costs[UNKNOWN, "off"].fee_money, 100)
+    assert math.isclose(costs[None, None].fee_money, 600)
+
+
 def test_two_rows_on_the_last_date_give_the_larger_value(spark, star):
     fact, dim = star
     again = fact.where("ticker = 'b'").withColumn("cum_net", F.lit(0.9))

@@ -360,6 +360,13 @@ def kpi_scorecard_equity(spark, folder):
     return rounded(measures.kpi_scorecard(*_star(spark, folder), where="asset_class = 'equity'"))
 
 
+@query
+def kpi_scorecard_orphans(spark, folder):
+    """The dimension lacks a traded asset; without a slicer nothing of the fact is lost."""
+    fact, dim = _star(spark, folder)
+    return rounded(measures.kpi_scorecard(fact, dim.where("ticker <> 'ECONOMY'")))
+
+
 @query
 def directional_accuracy(spark, folder):
     return rounded(measures.directional_accuracy(*_star(spark, folder)))
@@ -449,17 +456,16 @@ def stream_ingest_bars(spark, folder):
 
 @query
 def stream_hourly_bars(spark, folder):
-    """All events as a file stream; must equal the batch bars."""
-    source = tables.table(spark, folder, "events").schema
-    events = (
-        spark.readStream.schema(source).option("pathGlobFilter", "events.parquet").parquet(folder)
-    )
+    """All events in files of mixed times, one file per batch; must equal the batch bars."""
+    events = tables.table(spark, folder, "events")
+    path = new_path(spark, "events")
+    events.repartition(8, F.xxhash64("event_id")).write.parquet(path)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
     out, checkpoint = new_path(spark, "stream-bars"), new_path(spark, "stream-bars-state")
-    events = events.withColumn("ts", F.col("ts").cast("timestamp"))  # watermarks need the type
-    bars = streaming.windowed_bars(tables.event_ticks(events))
-    streaming.run_available(bars, streaming.versioned_sink(out), checkpoint)
-    kept = streaming.latest_versions(spark, out, ["ticker", "ts"])
-    return kept.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    ticks = tables.event_ticks(stream.withColumn("ts", F.col("ts").cast("timestamp")))
+    streaming.run_available(ticks, streaming.bar_parts(out), checkpoint, mode="append")
+    bars = streaming.merged_bars(spark, out)
+    return bars.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
 @query
