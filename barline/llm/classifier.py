@@ -127,10 +127,12 @@ def fold(doc_id: Column) -> Column:
 
 def statistics_table(docs: DataFrame) -> DataFrame:
     """One narrow row per document: ``_id`` and its statistics."""
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("_id"), text_of().alias("_text"))
-    return land(
-        texts.mapInPandas(_statistics_of, "_id bigint, _stats array<double>"), "statistics"
+    # Ids as text: a batch of whole numbers with a null would come as doubles.
+    texts = docs.select(
+        F.col("doc_id").cast("bigint").cast("string").alias("_id"), text_of().alias("_text")
     )
+    found = texts.mapInPandas(_statistics_of, "_id string, _stats array<double>")
+    return land(found.withColumn("_id", F.col("_id").cast("bigint")), "statistics")
 
 
 def fit(

@@ -237,7 +237,8 @@ def main_texts(pages: DataFrame, consensus: float = CONSENSUS, paths: int = PATH
     An empty table gives an empty result. Other columns are not looked at.
     """
     rows = pages.select(
-        F.col("page_id").cast("bigint").alias("page_id"),
+        # As text: a batch of whole numbers with a null would come as doubles.
+        F.col("page_id").cast("bigint").cast("string").alias("page_id"),
         F.col("url").cast("string").alias("url"),
         F.coalesce(host_of(F.col("url").cast("string")), F.lit("")).alias("_host"),
         F.coalesce(F.col("html").cast("string"), F.lit("")).alias("_html"),
@@ -252,7 +253,12 @@ def main_texts(pages: DataFrame, consensus: float = CONSENSUS, paths: int = PATH
         .select("page_id", "url", "_html", "_paths")
         .mapInPandas(
             _extracted,
-            "page_id bigint, url string, text string",
+            "page_id string, url string, text string",
+        )
+        .select(
+            F.col("page_id").cast("bigint").alias("page_id"),
+            "url",
+            "text",
+            F.length("text").cast("bigint").alias("n_chars"),
         )
-        .withColumn("n_chars", F.length("text").cast("bigint"))
     )

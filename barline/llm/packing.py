@@ -136,14 +136,15 @@ def token_table(docs: DataFrame, path: str | None = None, end: int = END) -> Dat
 
     rows = docs.select(
         F.monotonically_increasing_id().alias("_row"),
-        F.col("doc_id").cast("bigint").alias("_id"),
+        # As text: a batch of whole numbers with a null would come as doubles.
+        F.col("doc_id").cast("bigint").cast("string").alias("_id"),
         F.col("source").isNull().alias("_none"),
         F.coalesce(F.col("source").cast("string"), F.lit("")).alias("_source"),
         F.xxhash64("doc_id", text_of()).alias("_shuffle"),
         text_of().alias("_text"),
     )
     schema = (
-        "_row bigint, _id bigint, _none boolean, _source string, _shuffle bigint, "
+        "_row bigint, _id string, _none boolean, _source string, _shuffle bigint, "
         "_n bigint, _ids binary"
     )
     return land(rows.mapInPandas(tokenised, schema), "tokens")
@@ -204,7 +205,6 @@ def packed(
             out = []
             for doc, ids, at in zip(batch["_id"], batch["_ids"], batch["_at"], strict=True):
                 wide = np.frombuffer(ids, "<u2").astype("<u4")
-                doc = None if pd.isna(doc) else int(doc)
                 start = 0
                 while start < len(wide):
                     offset = (at + start) % length
@@ -216,7 +216,7 @@ def packed(
                     start = stop
             names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
             frame = pd.DataFrame(out, columns=names)
-            yield frame.astype({n: "Int64" if n == "doc_id" else "int64" for n in names})
+            yield frame.astype({n: "object" if n == "doc_id" else "int64" for n in names})
 
     return (
         tokens.select("_row", "_id", "_ids")
@@ -224,7 +224,8 @@ def packed(
         .select("_id", "_ids", "_at")
         .mapInPandas(
             pieces,
-            "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
+            "doc_id string, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
             "sequence_id bigint, offset bigint",
         )
+        .withColumn("doc_id", F.col("doc_id").cast("bigint"))
     )

@@ -144,6 +144,8 @@ def _best_condition(
     rows: DataFrame, cuts: dict[str, list[float]]
 ) -> tuple[Condition | None, int, int]:
     """The condition of largest gain on ``rows``, and what it covers: bad, good rows."""
+    if not any(cuts.values()):
+        return None, 0, 0
     values = features()
     placed = F.array(
         *[
