@@ -33,14 +33,14 @@ BASE = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-# Patterns of high recall.
+# Patterns of high recall. Digits inside a longer word, a hexadecimal key say, are none.
 LOOSE = {
     "email": (
         r"(?<![\p{L}0-9._%+-])[\p{L}0-9._%+-]++(?:@|\x20?[\[(]at[\])]\x20?)"
         r"[\p{L}0-9-]++(?:(?:\.|\x20?[\[(]dot[\])]\x20?)[\p{L}0-9-]++)++"
     ),
-    "ip": r"(?<![0-9.])[0-9]{1,3}(?:[.,]\x20?[0-9]{1,3}){3}(?![0-9])",
-    "card": r"(?<![0-9])[0-9](?:[\x20.-]{0,2}[0-9]){11,18}+(?![0-9])",
+    "ip": r"(?<![0-9A-Za-z.])[0-9]{1,3}(?:[.,]\x20?[0-9]{1,3}){3}(?![0-9A-Za-z])",
+    "card": r"(?<![0-9A-Za-z])[0-9](?:[\x20.-]{0,2}[0-9]){11,18}+(?![0-9A-Za-z])",
     "phone": r"(?<![0-9A-Za-z])(?:\+|00)?\(?[0-9]{1,4}\)?(?:[\x20./-]{1,2}\(?[0-9]{2,5}\)?){1,5}(?![0-9A-Za-z])",
 }
 # What a text must contain for its patterns to be tried at all.

@@ -165,8 +165,6 @@ def test_mixing_odd_texts(odd, texts):
             break
         target.update({s: 3 * sizes[s] for s in above})
         free -= set(above)
-    expected = {(sizes[s], pytest.approx(target[s])) for s in ()}
-    assert not expected
     got = {(r.source_size, round(r.target, 6)) for r in found}
     assert got == {(sizes[s], round(float(target[s]), 6)) for s in order}
     assert all(r.taken % r.size == 0 and r.taken <= 3 * r.size for r in found if r.size)
@@ -428,7 +426,8 @@ def test_candidates_like_cards_are_added(spark):
     """Numbers in the format and context of cards, but with a wrong check digit."""
     good = [n for n in (f"4{i:015d}" for i in range(123456789, 123466789, 7)) if luhn(n)][:120]
     rows = [(i, f"the card {n} of somebody") for i, n in enumerate(good)]
-    rows += [(1000, "the card 4000001234567899 of somebody")] if not luhn("4000001234567899") else []
+    wrong = next(n for n in range(4000001234567890, 4000001234567900) if not luhn(str(n)))
+    rows += [(1000, f"the card {wrong} of somebody")]
     rows += [(2000 + i, f'token = "{hashlib.sha1(str(i).encode()).hexdigest()}"') for i in range(60)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     found = {r.doc_id: r.spans for r in pii.personal_data(docs).collect()}
