@@ -13,14 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barline.functions import population_std, safe_div
-from barline.operators.fx import fx_convert, fx_fill, fx_join
-from barline.plans import (
-    BLOCK_ROWS,
-    fits_one_block,
-    frame_window,
-    rolling_means,
-    with_frames,
-)
+from barline.operators.fx import fx_convert, fx_fill
+from barline.plans import BLOCK_ROWS, frame_window, rolling_means, with_frames
 
 WINDOWS = (20, 10)
 FAMILIES = ("ma", "rv", "vol_z", "atr_n", "rsi_n", "adx_n")
@@ -96,20 +90,9 @@ def priced_frames(
     windows: Sequence[int] = WINDOWS,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """Bars with a rate, filled, converted to the model currency, numbered and framed.
-
-    A ticker has one bar per date and keeps only dates with a rate row, so the
-    number of rates bounds every series. Up to ``block_rows`` rates (179 years of
-    days) a ticker is one block; beyond that it is split.
-    """
-    short = fits_one_block(fx, block_rows)
-    filled = fx_fill(fx_join(bars, fx), one_block=short)
+    """Bars with a rate, filled, converted to the model currency, numbered and framed."""
     return with_frames(
-        fx_convert(filled),
-        before=look_back(windows),
-        after=1,
-        block_rows=block_rows,
-        one_block=short,
+        fx_convert(fx_fill(bars, fx)), before=look_back(windows), after=1, block_rows=block_rows
     )
 
 

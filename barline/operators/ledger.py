@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from barline.functions import argmax3, daily_rate
 from barline.operators.regime import CRITICAL_VOL
-from barline.plans import BLOCK_ROWS, frame_window, running_totals, with_frames
+from barline.plans import BLOCK_ROWS, frame_window, land, running_totals, with_frames
 
 TRADE_FEE = 0.001
 MARGIN_RATE = 0.06
@@ -144,6 +144,8 @@ def strategy_fact(scored: DataFrame, block_rows: int = BLOCK_ROWS, **costs: floa
     ledger = ledger.withColumn(
         "net_ret", F.col("gross_ret") - F.col("fee") - F.col("interest") - F.col("borrow")
     )
+    # Block sums and rows both read it: the positions and frames are worked out once.
+    ledger = land(ledger, "ledger")
     summed = running_totals(
         ledger, {"_sum_net": "net_ret", "_sum_bm": "bm_ret"}, block_rows=block_rows
     )

@@ -62,16 +62,23 @@ def _calls() -> Column:
     return F.count_if(F.col("pos") != 0)
 
 
-def _last_value(column: str) -> Column:
-    """Value on the last date of the group; the larger one if that date occurs twice."""
-    return F.max(F.struct("dt", column))[column]
+def last_values(fact: DataFrame) -> DataFrame:
+    """Cumulated returns per ticker on its last date; the larger one if that date occurs twice.
+
+    Rows meet the last dates on (ticker, date), so a hot ticker stays spread.
+    """
+    last = fact.groupBy("ticker").agg(F.max("dt").alias("dt"))
+    return (
+        fact.select("ticker", "dt", "cum_net", "cum_bm")
+        .join(last, ["ticker", "dt"], "left_semi")
+        .groupBy("ticker")
+        .agg(F.max("cum_net").alias("cum_net"), F.max("cum_bm").alias("cum_bm"))
+    )
 
 
 def ticker_summary(fact: DataFrame) -> DataFrame:
-    """Everything the measures need per ticker, in one aggregation."""
-    return fact.groupBy("ticker").agg(
-        _last_value("cum_net").alias("cum_net"),
-        _last_value("cum_bm").alias("cum_bm"),
+    """Everything the measures need per ticker; all aggregates are fixed-width and hashed."""
+    sums = fact.groupBy("ticker").agg(
         F.sum("gross_ret").alias("gross_ret"),
         *[F.sum(c).alias(c) for c in COSTS],
         _hits().alias("hits"),
@@ -82,6 +89,7 @@ def ticker_summary(fact: DataFrame) -> DataFrame:
         F.stddev_samp("net_ret").alias("sd_net"),
         F.stddev_samp("bm_ret").alias("sd_bm"),
     )
+    return sums.join(last_values(fact), "ticker")
 
 
 def asset_summary(fact: DataFrame, dim: DataFrame, where: Column | str | None = None) -> DataFrame:
@@ -144,36 +152,54 @@ def equity_curve(
 ) -> DataFrame:
     """Summed cumulated returns by date: overall, by class, by sector and by ticker.
 
-    ``scope`` names the slice; the columns it does not use are NULL.
+    ``scope`` names the slice; the columns it does not use are NULL. The fact has one row
+    per date and ticker, which is the ticker slice; the others come from its sums by date,
+    class and sector, so no row is multiplied.
     """
     rows = star_join(fact, dim, where)
-    slices = [["dt"], ["dt", "asset_class"], ["dt", "sector"], ["dt", "ticker"]]
+    curves = ("cum_net", "cum_bm")
+    sums = rows.groupBy("dt", "asset_class", "sector").agg(*[F.sum(c).alias(c) for c in curves])
+    slices = [["dt"], ["dt", "asset_class"], ["dt", "sector"]]
     scope = (
-        F.when(F.grouping("ticker") == 0, F.lit("ticker"))
-        .when(F.grouping("sector") == 0, F.lit("sector"))
+        F.when(F.grouping("sector") == 0, F.lit("sector"))
         .when(F.grouping("asset_class") == 0, F.lit("asset_class"))
         .otherwise(F.lit("all"))
     )
-    return rows.groupingSets(
-        [[F.col(c) for c in s] for s in slices], "dt", "asset_class", "sector", "ticker"
-    ).agg(
-        scope.alias("scope"),
-        F.sum("cum_net").alias("cum_net"),
-        F.sum("cum_bm").alias("cum_bm"),
+    none = F.lit(None).cast("string")
+    grouped = sums.groupingSets(
+        [[F.col(c) for c in s] for s in slices], "dt", "asset_class", "sector"
+    ).agg(scope.alias("scope"), *[F.sum(c).alias(c) for c in curves])
+    by_ticker = rows.select(
+        "dt",
+        none.alias("asset_class"),
+        none.alias("sector"),
+        F.lit("ticker").alias("scope"),
+        *curves,
+        "ticker",
+    )
+    return (
+        grouped.withColumn("ticker", none)
+        .unionByName(by_ticker)
+        .select("dt", "asset_class", "sector", "ticker", "scope", *curves)
     )
 
 
-def latest_signal(fact: DataFrame, bars: int = TENDENCY_BARS) -> DataFrame:
+def latest_signal(
+    fact: DataFrame,
+    bars: int = TENDENCY_BARS,
+    dim: DataFrame | None = None,
+    where: Column | str | None = None,
+) -> DataFrame:
     """Last position and leverage per ticker, and the sign of its recent mean return.
 
-    Row numbers come with the fact, so the last rows are a condition, not a window.
+    Row numbers come with the fact, so the last rows are a condition, not a window. The
+    last row is that of the largest number present. ``where`` filters ``dim``.
     """
-    at_end = F.col("rn") == F.col("n")
+    if where is not None:
+        fact = fact.join(filtered(dim, where).select("ticker"), "ticker", "left_semi")
     recent = F.when(F.col("rn") > F.col("n") - F.lit(bars), F.col("bm_ret"))
     return fact.groupBy("ticker").agg(
-        F.max(F.when(at_end, F.col("dt"))).alias("dt"),
-        F.max(F.when(at_end, F.col("pos"))).alias("pos"),
-        F.max(F.when(at_end, F.col("lev"))).alias("lev"),
+        *[F.max_by(c, "rn").alias(c) for c in ("dt", "pos", "lev")],
         F.signum(F.avg(recent)).cast("int").alias("tendency"),
     )
 

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barline.operators.indicators import WINDOWS
+from barline.plans import attach_spread, spread_of
 
 SCORES = ("p_short", "p_cash", "p_long")
 CLASSES = (-1, 0, 1)
@@ -36,9 +37,11 @@ def pooled_scores(
     """Scores of a class-weighted multinomial regression, fitted apart for 10- and 20-bar samples.
 
     The fit is distributed over the rows, so a ticker's share of them does not
-    matter; the weights (three rows per ticker) join by Spark's own size check.
+    matter; the weights (three rows per ticker) join on a spread key.
     """
-    train = _flat(samples, "train").join(weights.select("ticker", "y", "weight"), ["ticker", "y"])
+    train = attach_spread(
+        _flat(samples, "train"), weights.select("ticker", "y", "weight"), ["ticker", "y"], "dt"
+    )
     test = _flat(samples, "test")
     scored, unlearned = [], []
     for win in WINDOWS:
@@ -109,22 +112,38 @@ def _discriminant(moments: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame([out])
 
 
-def ticker_scores(samples: DataFrame) -> DataFrame:
-    """Scores of one linear discriminant per ticker (balanced classes, shared covariance).
+def class_moments(samples: DataFrame) -> DataFrame:
+    """Count, sums and upper triangle of the cross products of the training samples per
+    ticker and class.
 
-    Its parameters follow from class counts, sums and cross products, which add up
-    over any cut of the rows: each task reduces its own batches, Spark adds the
-    partial moments, and only three rows per ticker reach the solve. No group of
-    samples is ever gathered, however long a ticker's history is.
+    Rows are brought together by (ticker, part) first: a batch then holds few classes, so
+    the partial moments stay far smaller than the samples, and a hot ticker is in many parts.
     """
-    partial = _flat(samples, "train").select("ticker", "y", "x").mapInPandas(
-        _batch_moments, "ticker string, y int, moments array<double>"
+    partial = (
+        _flat(samples, "train")
+        .select("ticker", "y", "x", spread_of("dt").alias("_part"))
+        .repartition("ticker", "_part")
+        .sortWithinPartitions("ticker", "y")
+        .drop("_part")
+        .mapInPandas(_batch_moments, "ticker string, y int, moments array<double>")
     )
-    moments = (
+    return (
         partial.groupBy("ticker", "y")
         .agg(Summarizer.sum(array_to_vector("moments")).alias("moments"))
         .select("ticker", "y", vector_to_array("moments").alias("moments"))
     )
+
+
+def ticker_scores(samples: DataFrame) -> DataFrame:
+    """Scores of one linear discriminant per ticker (balanced classes, shared covariance).
+
+    Its parameters follow from class counts, sums and cross products, which add up
+    over any cut of the rows: each task reduces its own batches, Spark adds the
+    partial moments, and only three rows per ticker reach the solve. No group of
+    samples is ever gathered, however long a ticker's history is. A ticker without
+    training samples gets even odds.
+    """
+    moments = class_moments(samples)
     parameters = ", ".join(f"w_{s} array<double>, b_{s} double" for s in SCORES)
     fitted = moments.groupBy("ticker").applyInPandas(_discriminant, f"ticker string, {parameters}")
 
@@ -132,13 +151,15 @@ def ticker_scores(samples: DataFrame) -> DataFrame:
         products = F.zip_with("x", f"w_{name}", lambda a, b: a * b)
         return F.col(f"b_{name}") + F.aggregate(products, F.lit(0.0), lambda acc, v: acc + v)
 
-    scored = (
-        _flat(samples, "test")
-        .join(fitted, "ticker")
-        .select("ticker", "dt", *[logit(s).alias(s) for s in SCORES])
+    scored = attach_spread(_flat(samples, "test"), fitted, ["ticker"], "dt", how="left").select(
+        "ticker", "dt", *[logit(s).alias(s) for s in SCORES]
     )
     top = F.greatest(*SCORES)  # skips the NULL of a class that never occurred
     odds = {s: F.coalesce(F.exp(F.col(s) - top), F.lit(0.0)) for s in SCORES}
     total = odds["p_short"] + odds["p_cash"] + odds["p_long"]
-    return scored.select("ticker", "dt", *[(odds[s] / total).alias(s) for s in SCORES])
-
+    even = F.lit(1.0 / len(SCORES))
+    return scored.select(
+        "ticker",
+        "dt",
+        *[F.when(top.isNull(), even).otherwise(odds[s] / total).alias(s) for s in SCORES],
+    )

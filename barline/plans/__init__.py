@@ -1,11 +1,12 @@
 from barline.plans.blocks import (
     BLOCK_ROWS,
     attach_per_key,
+    attach_spread,
     block_of,
-    fits_one_block,
     frame_window,
     number_rows,
     running_totals,
+    spread_of,
     with_frames,
 )
 from barline.plans.landing import drop_landed, land, landed, shared_folder
@@ -14,8 +15,8 @@ from barline.plans.rolling import rolling_means
 __all__ = [
     "BLOCK_ROWS",
     "attach_per_key",
+    "attach_spread",
     "block_of",
-    "fits_one_block",
     "frame_window",
     "drop_landed",
     "land",
@@ -24,5 +25,6 @@ __all__ = [
     "rolling_means",
     "running_totals",
     "shared_folder",
+    "spread_of",
     "with_frames",
 ]

@@ -9,11 +9,10 @@ computation here is split into blocks of at most ``BLOCK_ROWS`` consecutive rows
   bounded frame reaches, so the window over ``(ticker, block)`` is exact;
 * ``running_totals`` a prefix sum from block sums and a window inside the block;
 * ``attach_per_key`` a per-ticker row joined on ``(ticker, block)``, so that the
-  join key of a hot ticker is spread as well.
+  join key of a hot ticker is spread as well; ``attach_spread`` does it by a hash.
 
-The only windows over a whole ticker run on one row per bucket or block. Where every
-series is known to fit into one block (``fits_one_block``), the same functions take
-the whole series as block 0 and need a single exchange.
+The only windows over a whole ticker run on one row per bucket or block. Short and
+long series take the same plan.
 """
 
 from __future__ import annotations
@@ -31,20 +30,15 @@ BLOCK_ROWS = 65_536
 # a bucket holds at most this many rows.
 BUCKET_STEPS = 8_192
 
+# Parts of a hot key in a join without row numbers.
+SPREAD = 16
+
 
 def block_of(position: Column, block_rows: int = BLOCK_ROWS) -> Column:
     """Block index of a 1-based position."""
     return F.floor((position - F.lit(1)) / F.lit(block_rows))
 
 
-def fits_one_block(steps: DataFrame, block_rows: int = BLOCK_ROWS) -> bool:
-    """Whether a series with at most one row per row of ``steps`` fits into one block.
-
-    ``steps`` is the small table of time steps; it is counted here and now.
-    """
-    return steps.count() <= block_rows
-
-
 def _time_bucket(df: DataFrame, order: str, step_seconds: int) -> Column:
     kind = df.schema[order].dataType
     if isinstance(kind, T.DateType):
@@ -64,27 +58,16 @@ def number_rows(
     total: str = "n",
     previous: Mapping[str, str] | None = None,
     step_seconds: int = 3_600,
-    one_block: bool = False,
 ) -> DataFrame:
     """Add the row number within ``key`` by ``order`` and the row count of ``key``.
 
-    ``(key, order)`` must be unique. Counts per (key, time bucket) are combined
-    before the shuffle; their running sum gives each bucket its first number, and
-    the sort only sees one bucket at a time. ``previous`` adds ``{new: column}``
-    of the row before; a bucket's first row takes it from the last row of the
-    bucket before. ``step_seconds`` is the bar length where ``order`` is a timestamp.
-    With ``one_block`` a series is short enough for a plain window.
+    ``(key, order)`` must be unique; a repeated one is an error. Counts per (key, time
+    bucket) are combined before the shuffle; their running sum gives each bucket its
+    first number, and the sort only sees one bucket at a time. ``previous`` adds
+    ``{new: column}`` of the row before; a bucket's first row takes it from the last row
+    of the bucket before. ``step_seconds`` is the bar length where ``order`` is a timestamp.
     """
     key, previous = list(key), dict(previous or {})
-    if one_block:
-        series = Window.partitionBy(*key)
-        ordered = series.orderBy(order)
-        return df.withColumns(
-            {
-                row: F.row_number().over(ordered).cast("bigint"),
-                **{new: F.lag(col).over(ordered) for new, col in previous.items()},
-            }
-        ).withColumn(total, F.count(F.lit(1)).over(series))
     bucketed = df.withColumn("_bucket", _time_bucket(df, order, step_seconds))
     by_bucket = Window.partitionBy(*key).orderBy("_bucket")
     starts = (
@@ -107,7 +90,10 @@ def number_rows(
     inside = Window.partitionBy(*key, "_bucket").orderBy(order)
     numbered = bucketed.join(starts, [*key, "_bucket"]).withColumns(
         {
-            "_place": F.row_number().over(inside),
+            "_place": F.when(
+                F.lag(order).over(inside) == F.col(order),
+                F.raise_error(F.lit(f"two rows with one ({', '.join(key)}, {order})")).cast("int"),
+            ).otherwise(F.row_number().over(inside)),
             **{f"_prev_{new}": F.lag(col).over(inside) for new, col in previous.items()},
         }
     )
@@ -137,7 +123,6 @@ def with_frames(
     row: str = "rn",
     total: str = "n",
     block_rows: int = BLOCK_ROWS,
-    one_block: bool = False,
 ) -> DataFrame:
     """Add ``block`` and ``own``, with copies of the rows a block's frames reach.
 
@@ -145,8 +130,6 @@ def with_frames(
     after it or ends at most ``after`` rows ahead of it; ``own`` marks its home
     block. Of ``block_rows`` rows only ``before + after`` are copied.
     """
-    if one_block:
-        return df.withColumns({"block": F.lit(0).cast("bigint"), "own": F.lit(True)})
     zero_based = F.col(row) - F.lit(1)
     first = F.greatest(F.lit(0), F.floor((zero_based - F.lit(after)) / F.lit(block_rows)))
     last = F.least(
@@ -223,3 +206,26 @@ def attach_per_key(
         .join(spread, [*key, "_block"])
         .drop("_block")
     )
+
+
+def spread_of(by: str, parts: int = SPREAD) -> Column:
+    """One of ``parts`` numbers, the same for equal values of ``by``."""
+    return F.pmod(F.xxhash64(by), F.lit(parts)).cast("int")
+
+
+def attach_spread(
+    df: DataFrame,
+    per_key: DataFrame,
+    key: Sequence[str],
+    by: str,
+    how: str = "inner",
+    parts: int = SPREAD,
+) -> DataFrame:
+    """Join of one row per ``key`` where rows have no number: ``per_key`` is repeated
+    ``parts`` times, and the rows of a hot key are spread over the parts by ``by``."""
+    numbers = F.sequence(F.lit(0), F.lit(parts - 1))
+    return (
+        df.withColumn("_part", spread_of(by, parts))
+        .join(per_key.withColumn("_part", F.explode(numbers)), [*key, "_part"], how)
+        .drop("_part")
+    )

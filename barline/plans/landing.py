@@ -36,7 +36,7 @@ def new_path(spark: SparkSession, name: str) -> str:
     """An unused path in the shared folder; what is written there goes with the session."""
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     _landed.setdefault(spark.sparkContext.applicationId, []).append(path)
-    fs, target = _file(spark, path)
+    fs, target = hadoop_path(spark, path)
     fs.deleteOnExit(target)
     return path
 
@@ -59,11 +59,12 @@ def drop_landed(spark: SparkSession, paths: Iterable[str] | None = None) -> None
     known = _landed.get(spark.sparkContext.applicationId, [])
     for path in list(known if paths is None else paths):
         if path in known:
-            fs, target = _file(spark, path)
+            fs, target = hadoop_path(spark, path)
             fs.delete(target, True)
             known.remove(path)
 
 
-def _file(spark: SparkSession, path: str):
+def hadoop_path(spark: SparkSession, path: str):
+    """The file system of ``path`` and its path object."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()), target

@@ -7,6 +7,7 @@ from barline.sources.assets import (
 )
 from barline.sources.bars import (
     BAR_SCHEMA,
+    VENDOR_HEADERS,
     build_bars,
     canonical_bars,
     concat_bars,
@@ -24,6 +25,7 @@ __all__ = [
     "BAR_SCHEMA",
     "FX_SCHEMA",
     "PORTFOLIO",
+    "VENDOR_HEADERS",
     "asset_dimension",
     "build_bars",
     "canonical_bars",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Column -> type, in table order.
@@ -50,14 +50,20 @@ def asset_dimension(
     """Any asset table in the dimension's columns and types.
 
     Text such as ``'10'`` is cast to its column type. ``defaults`` fills NULL or
-    missing columns; an asset is enabled unless the table says otherwise.
+    missing columns; an asset is enabled unless the table says otherwise. The ticker is
+    the key: a repeated or NULL one is an error.
     """
     fill = {"enabled": True, **(defaults or {})}
     out = []
     for name, kind in ASSET_COLUMNS.items():
         value = F.col(name) if name in rows.columns else F.lit(None)
         out.append(F.coalesce(value.cast(kind), F.lit(fill.get(name)).cast(kind)).alias(name))
-    return rows.select(*out)
+    same = F.count(F.lit(1)).over(Window.partitionBy("ticker"))
+    broken = F.col("ticker").isNull() | (same > 1)
+    key = F.when(broken, F.raise_error(F.lit("repeated or NULL ticker")).cast("string")).otherwise(
+        F.col("ticker")
+    )
+    return rows.select(*out).withColumn("ticker", key)
 
 
 def portfolio_dimension(spark: SparkSession, rows: Iterable[Sequence[Any]] = PORTFOLIO) -> DataFrame:

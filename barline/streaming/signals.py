@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barline.operators.measures import TENDENCY_BARS
+from barline.plans.landing import hadoop_path
 
 STATE = ("ticker", "dt", "pos", "lev", "bm_ret")
 GROUP_DAYS = 256
@@ -38,17 +39,26 @@ def keep_latest_signals(
     """A ``foreachBatch`` upsert of the last ``bars`` rows per ticker.
 
     Version ``i`` is version ``i - 1`` with batch ``i`` merged in, so a retried
-    batch writes the same version again.
+    batch writes the same version again. A corrected row of a later batch replaces the
+    earlier one; within a batch the larger row wins. Versions before ``i - 1`` are deleted.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.select(*STATE)
+        spark, rows = batch.sparkSession, batch.select(*STATE)
+        told = rows.withColumn("_batch", F.lit(batch_id))
         if batch_id > 0:
-            before = batch.sparkSession.read.schema(rows.schema).parquet(
-                f"{path}/version={batch_id - 1}"
-            )
-            rows = before.unionByName(rows).dropDuplicates(["ticker", "dt"])
-        _last_rows(rows, bars).write.mode("overwrite").parquet(f"{path}/version={batch_id}")
+            before = spark.read.schema(rows.schema).parquet(f"{path}/version={batch_id - 1}")
+            told = told.unionByName(before.withColumn("_batch", F.lit(batch_id - 1)))
+        values = [c for c in STATE if c not in ("ticker", "dt")]
+        newest = (
+            told.groupBy("ticker", "dt")
+            .agg(F.max(F.struct("_batch", *values)).alias("_row"))
+            .select("ticker", "dt", *[F.col(f"_row.{c}").alias(c) for c in values])
+        )
+        _last_rows(newest, bars).write.mode("overwrite").parquet(f"{path}/version={batch_id}")
+        if batch_id > 1:
+            fs, old = hadoop_path(spark, f"{path}/version={batch_id - 2}")
+            fs.delete(old, True)
 
     return merge
 

@@ -27,7 +27,7 @@ def same(a, b, tol=1e-9):
 
 def fx_of(spark, make_bars, make_fx, days, rates):
     bars = make_bars([(t, i, 1, 2, 0.5, 1, 1) for t, ds in days.items() for i in ds])
-    got = fx_fill(fx_join(bars, make_fx(rates))).collect()
+    got = fx_fill(bars, make_fx(rates)).collect()
     return {(r.ticker, (r.dt - day(0)).days): r.fx_close for r in got}
 
 

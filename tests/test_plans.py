@@ -9,7 +9,10 @@ from workload import tables
 from workload.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
-MODELS = {"model_scores_pooled", "model_scores_per_ticker", "model_strategy_fact"}
+MODELS = {
+    "model_scores_pooled", "model_scores_per_ticker", "model_strategy_fact", "class_moments",
+    "model_score_rows",
+}
 STREAMS = {"stream_ingest_bars", "stream_hourly_bars", "stream_latest_signal"}
 # parts of master_features, label_next and strategy_fact
 PARTS = {
@@ -49,16 +52,40 @@ def test_windows_over_whole_tickers_see_summaries_only(spark):
         keys = re.search(r"\], \[([^\]]*)\](, \[[^\]]*\])?$", line).group(1)
         assert keys in ("ticker, block", "ticker, _bucket") or (
             keys == "ticker" and ("_rows" in line or "_last" in line)
-        ), line
+        ) or keys == "fx_dt ASC NULLS FIRST", line  # the rate table, a row per date
     assert exchanges(text).count("ticker, block") == 1
 
 
-def test_features_of_short_series_take_one_exchange_and_one_sort(spark):
-    """With fewer dates than a block holds, main path and lenders shuffle the bars once each."""
-    text = features_plan(spark)
-    assert exchanges(text).count("ticker") == 2
-    assert len(re.findall(r"[- ]Sort \[", text)) == 2
-    assert "SortMergeJoin" not in text
+def test_bars_are_shuffled_once_for_numbers_and_once_for_frames(spark):
+    """The same for any length; the other exchanges take rows combined before them."""
+    short, long = features_plan(spark), features_plan(spark, block_rows=1_000)
+    assert exchanges(short) == exchanges(long)
+    lines = short.splitlines()
+    rows = [
+        line
+        for line, below in zip(lines, lines[1:], strict=False)
+        if "Exchange hashpartitioning(ticker" in line and "HashAggregate" not in below
+        and "Window" not in below
+    ]
+    keys = [exchanges(line)[0] for line in rows]
+    assert sorted(keys) == ["ticker, _bucket", "ticker, block"], keys
+
+
+@pytest.mark.parametrize("name", ["kpi_scorecard", "perf_by_asset", "alpha_by_class", "best_asset"])
+def test_measures_aggregate_by_hash(spark, name):
+    assert "SortAggregate" not in plan(QUERIES[name](spark, FOLDER))
+
+
+def test_the_ledger_is_worked_out_once(spark):
+    text = plan(QUERIES["strategy_fact"](spark, FOLDER))
+    assert exchanges(text).count("ticker, block") <= 2  # block sums and rows
+    assert "lag(" not in text
+
+
+def test_equity_curve_expands_sums_only(spark):
+    text = plan(QUERIES["equity_curve"](spark, FOLDER))
+    expanded = text[text.index("Expand") :].splitlines()[1]
+    assert "HashAggregate" in expanded
 
 
 def test_labels_exchange_rows_once_per_read(spark):

@@ -98,6 +98,32 @@ def duplicate_bar_keys(spark, folder):
     return sources.duplicate_keys(items, "l_partkey", "dt")
 
 
+@query
+def vendor_csv_bars(spark, folder):
+    """Bars through vendor files: a CSV folder per ticker, one read with its ticker as a constant."""
+    path, one = new_path(spark, "vendor"), "ECONOMY"
+    headers = {new: old for old, new in sources.VENDOR_HEADERS.items()}
+    bars = tables.staged_bars(spark, folder).withColumnsRenamed(headers)
+    bars.write.option("header", True).partitionBy("ticker").csv(path)
+    schema = "Date date, " + ", ".join(
+        f"`{name}` double" for name in sources.VENDOR_HEADERS if name != "Date"
+    )
+    whole = sources.read_bars(spark, path, "csv", f"{schema}, ticker string", header="true")
+    alone = sources.read_bars(
+        spark, f"{path}/ticker={one}", "csv", schema, ticker=one, header="true"
+    )
+    return sources.concat_bars(whole.where(F.col("ticker") != one), alone)
+
+
+@query
+def replaced_table(spark, folder):
+    """A table written twice through the replace sink and read back."""
+    bars, path = tables.staged_bars(spark, folder), new_path(spark, "replaced")
+    sources.replace_table(sources.lookback(bars, AS_OF), path)
+    sources.replace_table(bars, path)
+    return sources.read_table(spark, path)
+
+
 # --- currency ---------------------------------------------------------------------
 
 
@@ -112,13 +138,13 @@ def fx_inner_join(spark, folder):
 
 @query
 def fx_one_step_fill(spark, folder):
-    filled = fx.fx_fill(fx.fx_join(*_bars_and_rates(spark, folder)))
+    filled = fx.fx_fill(*_bars_and_rates(spark, folder))
     return filled.select("ticker", "dt", "fx_close")
 
 
 @query
 def fx_convert(spark, folder):
-    priced = fx.fx_convert(fx.fx_fill(fx.fx_join(*_bars_and_rates(spark, folder))))
+    priced = fx.fx_convert(fx.fx_fill(*_bars_and_rates(spark, folder)))
     return priced.select("ticker", "dt", *fx.PRICES, "volume")
 
 
@@ -382,6 +408,13 @@ def latest_signal(spark, folder):
     return measures.latest_signal(tables.staged_fact(spark, folder))
 
 
+@query
+def latest_signal_equity(spark, folder):
+    """The signal panel under a slicer."""
+    fact, dim = _star(spark, folder)
+    return measures.latest_signal(fact, dim=dim, where="asset_class = 'equity'")
+
+
 @query
 def perf_by_asset(spark, folder):
     return rounded(measures.perf_by_asset(*_star(spark, folder)))
@@ -432,6 +465,38 @@ def model_scores_per_ticker(spark, folder):
     return model.ticker_scores(_samples(spark, folder))
 
 
+@query
+def class_moments(spark, folder):
+    """Counts, sums and products per ticker and class that the discriminants are solved from."""
+    moments, d = F.col("moments"), F.col("d")
+    last = d - F.lit(len(samples.SAMPLE_FEATURES))
+    return rounded(
+        model.class_moments(_samples(spark, folder))
+        .withColumn("d", ((F.sqrt(8 * F.size("moments") + 1) - 3) / 2).cast("int"))
+        .select(
+            "ticker",
+            "y",
+            F.get(moments, F.lit(0)).cast("bigint").alias("n"),
+            F.get(moments, F.lit(1)).alias("sum_first"),
+            F.get(moments, last + 1).alias("sum_last"),
+            F.get(moments, d + 1).alias("square_first"),
+            F.get(moments, d + 1 + last).alias("cross_last"),
+        )
+    )
+
+
+@query
+def model_score_rows(spark, folder):
+    """Every test sample has three scores between 0 and 1 that add up to 1."""
+    scores = model.ticker_scores(_samples(spark, folder))
+    return scores.select(
+        "ticker",
+        "dt",
+        F.round(sum((F.col(s) for s in model.SCORES), F.lit(0.0)), 6).alias("total"),
+        F.forall(F.array(*model.SCORES), lambda p: p.between(0, 1)).alias("in_range"),
+    )
+
+
 @query
 def model_strategy_fact(spark, folder):
     """The whole chain from bars to the ledger of a fitted model."""
