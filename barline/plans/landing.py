@@ -41,11 +41,14 @@ def new_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def land(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as a parquet table in the shared folder and read it back."""
+def land(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
+    """Write ``df`` as a parquet table in the shared folder and read it back.
+
+    ``compression`` is a parquet codec, by default that of the session.
+    """
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.mode("errorifexists").parquet(path)
+    df.write.mode("errorifexists").parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 
