@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barline.llm.common import lookup, with_rows
-from barline.plans import land
+from barline.plans import drop_landed, land, landed
 from barline.plans.landing import new_path
 
 SMALLEST_REVISIT = 100
@@ -47,6 +47,7 @@ def captures(pages: DataFrame, smallest: int = SMALLEST_REVISIT) -> DataFrame:
             F.sha2(html, 256).alias("_digest"),
         ),
         "captures",
+        compression="zstd",
     )
     rank = F.coalesce(F.col("_id"), F.lit(2**63 - 1))
     first = (
@@ -253,7 +254,10 @@ def archived(pages: DataFrame, smallest: int = SMALLEST_REVISIT) -> DataFrame:
     """
     spark = pages.sparkSession
     path = new_path(spark, "warc")
+    before = set(landed(spark))
     write_archives(captures(pages, smallest), path)
+    # The archives hold everything from here on.
+    drop_landed(spark, [p for p in landed(spark) if p not in before])
     found = read_records(spark, path).withColumns(
         {
             "sha256": F.sha2("block", 256),
