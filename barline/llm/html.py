@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -24,6 +25,8 @@ from barline.plans import land
 PATHS = 3
 # Share of a host's votes a path needs.
 CONSENSUS = 0.1
+# Steps of a path at most; what is nested deeper has the path of the element around it.
+DEEPEST = 64
 
 # Tags whose content is never text of the page.
 SILENT = frozenset("script style noscript template svg iframe object canvas head title".split())
@@ -50,7 +53,7 @@ _ENDS_P = BLOCKS - {"br", "body", "html"}
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|$)|<![^>]*>|<\?[^>]*>"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
+    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)>",
     re.S,
 )
 _ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
@@ -68,8 +71,9 @@ def step(tag: str, classes: str) -> str:
 def blocks(html: str) -> list[Block]:
     """The page's text blocks in order: path, text, left out or not, characters in links."""
     out: list[Block] = []
-    # Open elements: tag, path, silent or outside, and whether it is a link.
-    open_: list[tuple[str, str, bool, bool]] = []
+    # Open elements: tag, path, and whether it or one around it is left out, a link, an article.
+    open_: list[tuple[str, str, bool, bool, bool]] = []
+    opened: Counter[str] = Counter()
     pieces: list[str] = []
     linked = 0
     at = 0
@@ -81,13 +85,14 @@ def blocks(html: str) -> list[Block]:
         nonlocal linked
         text = " ".join(entities.unescape("".join(pieces)).split()) if pieces else ""
         if text:
-            out.append((path(), text, any(x[2] for x in open_), linked))
+            out.append((path(), text, bool(open_) and open_[-1][2], linked))
         pieces.clear()
         linked = 0
 
     def close(position: int) -> None:
         if any(x[0] in BLOCKS for x in open_[position:]):
             flush()
+        opened.subtract(x[0] for x in open_[position:])
         del open_[position:]
 
     while at < len(html):
@@ -96,6 +101,7 @@ def blocks(html: str) -> list[Block]:
             tag = open_[-1][0]
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(html, at)
             at = end.end() if end else len(html)
+            opened[tag] -= 1
             open_.pop()
             continue
         found = _TAG.search(html, at)
@@ -105,14 +111,14 @@ def blocks(html: str) -> list[Block]:
         if found.start() > at:
             piece = html[at : found.start()]
             pieces.append(piece)
-            if any(x[3] for x in open_):
+            if open_ and open_[-1][3]:
                 linked += len(piece)
         at = found.end()
         if not found[2]:
             continue
         tag = found[2].lower()
         if found[1]:  # an end tag closes its element and all inside it
-            for i in range(len(open_) - 1, -1, -1):
+            for i in range(len(open_) - 1, -1, -1) if opened[tag] > 0 else ():
                 if open_[i][0] == tag:
                     close(i)
                     break
@@ -120,7 +126,7 @@ def blocks(html: str) -> list[Block]:
         if tag in BLOCKS:
             flush()
         for ends in (CLOSES.get(tag), {"p"} if tag in _ENDS_P and tag != "p" else None):
-            if ends:
+            if ends and any(opened[end] > 0 for end in ends):
                 for i in range(len(open_) - 1, -1, -1):
                     if open_[i][0] in ends:
                         close(i)
@@ -132,15 +138,21 @@ def blocks(html: str) -> list[Block]:
         said = {m[0].lower(): m[1] or m[2] or m[3] for m in _ATTRIBUTE.findall(found[3])}
         classes = entities.unescape(said.get("class", ""))
         marks = " ".join((classes, said.get("id", ""), said.get("role", ""))).lower()
-        inside = any(x[0] in ("article", "main") for x in open_)
+        _, around, left_out, linking, inside = open_[-1] if open_ else ("", "", False, False, False)
         outside = (
-            tag in OUTSIDE
+            left_out
+            or tag in OUTSIDE
             or tag == "head"
             or tag == "header" and not inside
             or tag not in ("body", "html", "article", "main") and bool(MARKS.search(marks))
         )
-        here = step(tag, classes)
-        open_.append((tag, f"{path()}/{here}" if open_ else here, outside, tag == "a"))
+        # Only blocks are steps, and not below DEEPEST: a path stays short on any page.
+        if tag in BLOCKS and around.count("/") < DEEPEST - 1:
+            around = f"{around}/{step(tag, classes)}" if around else step(tag, classes)
+        open_.append(
+            (tag, around, outside, linking or tag == "a", inside or tag in ("article", "main"))
+        )
+        opened[tag] += 1
     flush()
     return out
 

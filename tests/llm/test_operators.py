@@ -530,3 +530,18 @@ def test_empty_tables(spark, no_docs, labels):
         warc.archived(pages),
     ):
         assert result.collect() == []
+
+
+@pytest.mark.parametrize(
+    "page,text",
+    [
+        ("<div>" * 20_000 + "deep" + "</div>" * 20_000, "deep"),
+        ("<b>x" * 20_000, "x" * 20_000),
+        ("<div>" * 2_000 + "a" + "</i>" * 100_000, "a"),
+        ("<article><p>a<div class='comments'><p>no<p>no</div><p>b</article>", "a b"),
+    ],
+)
+def test_nested_and_unclosed_pages(page, text):
+    found = html.blocks(page)
+    assert max(path.count("/") for path, *_ in found) < html.DEEPEST
+    assert html.main_text(found, []) == text
