@@ -5,7 +5,8 @@ is a tag with its first class, digits generalised. A page's containers are score
 their text, links and prose; the best one is the page's vote, and Spark counts the votes
 per host. Pages are then extracted again: from the winning path of their host if they
 have it, else from their own best container. Menus, headers, footers, sidebars, notices,
-adverts, forms and reader comments are left out inside the container as well.
+adverts, forms and reader comments are left out inside the container as well; a form or a
+marked element that holds most of a page's prose is none of these and stays.
 """
 
 from __future__ import annotations
@@ -30,14 +31,37 @@ DEEPEST = 64
 
 # Tags whose content is never text of the page.
 SILENT = frozenset("script style noscript template svg iframe object canvas head title".split())
+# Tags that may stand in a head; any other one ends it.
+IN_HEAD = frozenset("base link meta noscript script style template title".split())
 # Tags around what is not the article.
 OUTSIDE = frozenset("nav footer aside form button select option menu dialog textarea".split())
-# Words in a class, id or role that mark such parts.
+# Controls are left out whatever they hold.
+CONTROLS = frozenset("button select option textarea".split())
+# Characters from which an element with most of the page's prose overrides its mark.
+LEAST = 200
+# Share of them that the rest of the page must stay under for comments, menus and the like.
+REST = 0.05
+# Words that mark such parts: a token of a class, id or role that is one or starts with one ...
+_WORDS = (
+    r"ads?|advert(?:s|is\w*)?|banners?|promo(?:s|tions?|ted)?|sponsor\w*|nav(?:bar|i|igation|s)?|"
+    r"menu\w*|footer|sidebar|side-bar|cookie\w*|consent|notice|popup|modal|newsletter|subscribe|"
+    r"share|social|related|comments?|comment(?:area|box|form|list|section)|disqus|breadcrumb\w*|"
+    r"login|signup|widgets?|toolbar|pagination|masthead"
+)
+# ... or ends with one that names a part of the page ("main-nav"), but no state or layout
+# ("comments-open", "has-sidebar").
+_PARTS = (
+    r"ads?|advert(?:s|is\w*)?|banners?|nav(?:bar|igation)?|menu|footer|sidebar|comments|"
+    r"breadcrumbs?|pagination"
+)
+_STATE = r"open(?:ed)?|closed?|on|off|none|enabled|disabled|active|visible|hidden|collapsed|expanded"
+_LAYOUT = r"has|have|no|not|with|without|is|show|hide|hidden|under|below|above|beside"
 MARKS = re.compile(
-    r"(?:^|[^a-z])(?:ad|ads|advert\w*|banner|promo\w*|sponsor\w*|nav\w*|menu\w*|footer|sidebar|"
-    r"side-bar|cookie\w*|consent|notice|popup|modal|newsletter|subscribe|share|social|related|"
-    r"comment\w*|disqus|breadcrumb\w*|login|signup|widget|toolbar|pagination|masthead)(?:$|[^a-z])"
+    rf"(?:^|\s)(?!(?:{_LAYOUT})[-_])(?:(?:{_WORDS})(?![-_](?:{_STATE})(?:\s|$))(?![a-z])"
+    rf"|\S*[-_:](?:{_PARTS})(?=\s|$))"
 )
+COMMENTS = re.compile(r"(?:^|\s)(?:\S*[-_])?(?:comment|disqus)")
+_CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 BLOCKS = frozenset(
     "address article aside blockquote body br dd details div dl dt fieldset figcaption figure "
     "footer form h1 h2 h3 h4 h5 h6 header hr html li main nav ol p pre section summary table "
@@ -70,9 +94,12 @@ def step(tag: str, classes: str) -> str:
 
 def blocks(html: str) -> list[Block]:
     """The page's text blocks in order: path, text, left out or not, characters in links."""
-    out: list[Block] = []
-    # Open elements: tag, path, and whether it or one around it is left out, a link, an article.
-    open_: list[tuple[str, str, bool, bool, bool]] = []
+    out: list[tuple[str, str, int, int]] = []
+    # Elements that may be left out: number of the one around it, and its kind.
+    flags: list[tuple[int, str]] = []
+    # Open elements: tag, path, innermost of flags (-1: none), and whether it or one around
+    # it is a link, an article.
+    open_: list[tuple[str, str, int, bool, bool]] = []
     opened: Counter[str] = Counter()
     pieces: list[str] = []
     linked = 0
@@ -85,7 +112,7 @@ def blocks(html: str) -> list[Block]:
         nonlocal linked
         text = " ".join(entities.unescape("".join(pieces)).split()) if pieces else ""
         if text:
-            out.append((path(), text, bool(open_) and open_[-1][2], linked))
+            out.append((path(), text, open_[-1][2] if open_ else -1, linked))
         pieces.clear()
         linked = 0
 
@@ -110,6 +137,8 @@ def blocks(html: str) -> list[Block]:
             break
         if found.start() > at:
             piece = html[at : found.start()]
+            if open_ and open_[-1][0] == "head" and piece.strip():
+                close(len(open_) - 1)
             pieces.append(piece)
             if open_ and open_[-1][3]:
                 linked += len(piece)
@@ -123,6 +152,8 @@ def blocks(html: str) -> list[Block]:
                     close(i)
                     break
             continue
+        if open_ and open_[-1][0] == "head" and tag not in IN_HEAD:
+            close(len(open_) - 1)
         if tag in BLOCKS:
             flush()
         for ends in (CLOSES.get(tag), {"p"} if tag in _ENDS_P and tag != "p" else None):
@@ -137,23 +168,63 @@ def blocks(html: str) -> list[Block]:
             continue
         said = {m[0].lower(): m[1] or m[2] or m[3] for m in _ATTRIBUTE.findall(found[3])}
         classes = entities.unescape(said.get("class", ""))
-        marks = " ".join((classes, said.get("id", ""), said.get("role", ""))).lower()
-        _, around, left_out, linking, inside = open_[-1] if open_ else ("", "", False, False, False)
-        outside = (
-            left_out
-            or tag in OUTSIDE
-            or tag == "head"
-            or tag == "header" and not inside
-            or tag not in ("body", "html", "article", "main") and bool(MARKS.search(marks))
-        )
+        marks = " ".join((classes, said.get("id", ""), said.get("role", "")))
+        marks = _CAMEL.sub("-", marks).lower()
+        _, around, flag, linking, inside = open_[-1] if open_ else ("", "", -1, False, False)
+        kind = ""
+        if tag in CONTROLS or tag in SILENT:
+            kind = "never"
+        elif tag in OUTSIDE and tag != "form" or tag == "header" and not inside:
+            kind = "apart"
+        elif tag not in ("body", "html", "article", "main") and MARKS.search(marks):
+            kind = "apart" if COMMENTS.search(marks) else "marked"
+        elif tag == "form":
+            kind = "form"
+        if kind:
+            if flag >= 0 and flags[flag][1] in ("never", "apart") and kind != "never":
+                kind = flags[flag][1]
+            flags.append((flag, kind))
+            flag = len(flags) - 1
         # Only blocks are steps, and not below DEEPEST: a path stays short on any page.
         if tag in BLOCKS and around.count("/") < DEEPEST - 1:
             around = f"{around}/{step(tag, classes)}" if around else step(tag, classes)
         open_.append(
-            (tag, around, outside, linking or tag == "a", inside or tag in ("article", "main"))
+            (tag, around, flag, linking or tag == "a", inside or tag in ("article", "main"))
         )
         opened[tag] += 1
     flush()
+    left_out = dropped(out, flags)
+    return [(path, text, flag >= 0 and left_out[flag], linked) for path, text, flag, linked in out]
+
+
+def dropped(found: list[tuple[str, str, int, int]], flags: list[tuple[int, str]]) -> list[bool]:
+    """Which of ``flags`` are left out.
+
+    Prose is text outside links. An element counts what it holds without what stays left
+    out inside. A marked element stays with at least ``LEAST`` characters and half of the
+    prose, a form also with all of it; comments, menus, asides and the like, with which a
+    page may well say more than with its article, only if hardly anything is around.
+    """
+    holds = [0] * len(flags)
+    total = 0
+    for _, text, flag, linked in found:
+        prose = max(0, len(text) - linked)
+        if flag < 0 or flags[flag][1] in ("form", "marked"):
+            total += prose
+        if flag >= 0:
+            holds[flag] += prose
+    out = [True] * len(flags)
+    for k in range(len(flags) - 1, -1, -1):  # what is inside comes after what is around
+        around, kind = flags[k]
+        if kind == "apart":
+            out[k] = not (holds[k] >= LEAST and total < REST * holds[k])
+        elif kind != "never":
+            all_of_it = kind == "form" and 0 < total == holds[k]
+            out[k] = not (all_of_it or holds[k] >= LEAST and 2 * holds[k] > total)
+        if not out[k] and around >= 0:
+            holds[around] += holds[k]
+    for k, (around, _) in enumerate(flags):
+        out[k] = out[k] or around >= 0 and out[around]
     return out
 
 
@@ -186,7 +257,7 @@ def best_container(found: list[Block]) -> str:
 
 def main_text(found: list[Block], paths: list[str]) -> str:
     """Text inside the first of ``paths`` that the page has, else its best container."""
-    here = {path for path, *_ in found}
+    here = {path for path, _, outside, _ in found if not outside}
     inside = lambda path, top: path == top or path.startswith(top + "/")
     chosen = next((p for p in paths if any(inside(path, p) for path in here)), None)
     if chosen is None:

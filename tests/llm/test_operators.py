@@ -454,6 +454,51 @@ def test_main_text_of_a_page_without_article():
     assert html.main_text(found, []) == TEXT
 
 
+ARTICLE = "<h1>Title</h1>" + "<p>Long words, and a sentence of prose. More of it here.</p>" * 8
+NAV = "<nav><a href='/'>menu</a></nav>"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<html><body><form id='aspnetForm'>{NAV}<div>{ARTICLE}</div><select><option>no</select></form>",
+        f"<html><body><form>{NAV}<div>{ARTICLE}</div><div class='ad'>{'no ' * 60}</div></form>",
+        f"<html><head><title>no</title><meta charset='utf-8'><body>{NAV}<div>{ARTICLE}</div>",
+        f"<html><head><title>no</title><div>{ARTICLE}</div>",
+        f"<html><body><div class='related'>{ARTICLE}</div><div class='ad'>no, no.</div>",
+        *[
+            f"<html><body>{NAV}<div class='{c}'>{ARTICLE}</div><div class='main-nav'>no</div></body></html>"
+            for c in (
+                "content has-sidebar",
+                "entry no-sidebar",
+                "post comments-open",
+                "site has-banner",
+                "commentary",
+            )
+        ],
+    ],
+)
+def test_articles_in_marked_or_unclosed_elements_are_kept(page):
+    inner = " ".join(re.sub("<[^>]*>", " ", ARTICLE).split())
+    assert html.main_text(html.blocks(page), []) == inner
+
+
+@pytest.mark.parametrize(
+    "marks",
+    ["main-nav", "site-footer", "mainNav", "comments-area", "commentlist", "ad-top", "cookie-notice",
+     "x widget_text", "post-comments", "navbar", "sidebar-left", "advertisement"],
+)
+def test_marked_parts_are_left_out(marks):
+    page = f"<html><body><div class='post'>{ARTICLE}<div class='{marks}'>no</div></div>"
+    assert " no" not in html.main_text(html.blocks(page), [])
+    assert not any(html.MARKS.search(c) for c in ("commentary", "content has-sidebar", "navy", "shared"))
+
+
+def test_many_comments_are_no_article():
+    page = f"<html><body><div class='post'>{ARTICLE}</div><div id='comments'>{'<p>no, no. </p>' * 200}</div>"
+    assert "no, no" not in html.main_text(html.blocks(page), [])
+
+
 def test_hosts_agree_on_a_path(spark):
     """A page whose own best container is wrong follows the other pages of its host."""
     poor = PAGE.replace("Third, with commas, and dots.", "").replace(
