@@ -2,8 +2,8 @@
 
 Every page is cut into blocks of text, each with the path of its containers; a path step
 is a tag with its first class, digits generalised. A page's containers are scored by
-their text, links and prose; the best one is the page's vote, and Spark counts the votes
-per host. Pages are then extracted again: from the winning path of their host if they
+their text, links and prose; from the best one the vote climbs to the elements around it
+while they add text of the article, and Spark counts the votes per host. Pages are then extracted again: from the winning path of their host if they
 have it, else from their own best container. Menus, headers, footers, sidebars, notices,
 adverts, forms and reader comments are left out inside the container as well; a form or a
 marked element that holds most of a page's prose is none of these and stays.
@@ -83,6 +83,12 @@ _TAG = re.compile(
 _ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
 _HOST = re.compile(r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)")
 
+# Share of links from which added text is a menu or a list of teasers.
+LINKED = 0.4
+# Characters from which a paragraph beside the best container is prose by itself.
+PROSE = 80
+_HEADINGS = frozenset("h1 h2 h3".split())
+
 Block = tuple[str, str, bool, int]
 
 
@@ -251,8 +257,48 @@ def containers(found: list[Block]) -> dict[str, float]:
 
 
 def best_container(found: list[Block]) -> str:
+    """The best container, or the highest element around it that adds to its article.
+
+    An element adds if the unflagged text it has beside the one below has few links. If
+    it also has parts that are left out, or is the body, it is the page's frame: then
+    the text must hold a heading or a paragraph of prose.
+    """
     scores = containers(found)
-    return max(scores, key=lambda p: (scores[p], p.count("/"), p)) if scores else ""
+    if not scores:
+        return ""
+    chosen = max(scores, key=lambda p: (scores[p], p.count("/"), p))
+    # Per element around the chosen one: characters added, of these in links, whether some
+    # of them are a heading or prose, and whether it has parts that are left out.
+    depth = chosen.count("/")
+    steps = chosen.split("/")
+    added = [[0, 0, False, False] for _ in steps]
+    for path, text, outside, linked in found:
+        parts = path.split("/", depth + 1)
+        common = 0
+        for mine, other in zip(steps, parts, strict=False):
+            if mine != other:
+                break
+            common += 1
+        if not common or common > depth:
+            continue
+        at = added[common - 1]
+        if outside:
+            at[3] = True
+            continue
+        at[0] += len(text)
+        at[1] += linked
+        tag = path.rpartition("/")[2].partition(".")[0]
+        at[2] = at[2] or linked <= LINKED * len(text) and (tag in _HEADINGS or len(text) >= PROSE)
+    top, frame = depth, False
+    for k in range(depth - 1, -1, -1):
+        size, linked, article, marked = added[k]
+        frame = frame or marked or steps[k].partition(".")[0] in ("body", "html")
+        if not size:
+            continue
+        if linked > LINKED * size or frame and not article:
+            break
+        top = k
+    return "/".join(steps[: top + 1])
 
 
 def main_text(found: list[Block], paths: list[str]) -> str:

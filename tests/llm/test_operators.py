@@ -494,6 +494,31 @@ def test_marked_parts_are_left_out(marks):
     assert not any(html.MARKS.search(c) for c in ("commentary", "content has-sidebar", "navy", "shared"))
 
 
+LEAD = "<p>A lead of some length, which says what follows. It is no list of links, but prose.</p>"
+
+
+@pytest.mark.parametrize(
+    "whole",
+    [
+        f"<div class='post'><h1>Title</h1><div class='entry'>{ARTICLE}</div></div>",
+        f"<div class='content'><div class='lead'>{LEAD * 2}</div><div class='body'>{LEAD * 5}</div></div>",
+        f"<article><p>Some words before.</p><div><div class='body'>{ARTICLE}</div></div><p>And after.</p></article>",
+        f"<div class='page'><h1>Title</h1><div class='main'><div class='body'>{ARTICLE}</div></div></div>",
+        f"<div class='one'>{LEAD}</div><div class='two'>{LEAD * 2}</div><div class='three'>{LEAD * 6}</div>",
+    ],
+)
+def test_an_article_in_several_parts_is_taken_whole(spark, whole):
+    teasers = "<div class='more'>" + "<p><a href='/x'>no more of it, no</a></p>" * 5 + "</div>"
+    page = f"<html><body>{NAV}{whole}<footer>no</footer></body></html>"
+    inner = " ".join(re.sub("<[^>]*>", " ", whole).split())
+    assert html.main_text(html.blocks(page), []) == inner
+    if "<div class='one'>" not in whole:
+        assert html.main_text(html.blocks(page.replace("<footer>", teasers + "<footer>")), []) == inner
+    rows = [(i, f"http://h.example/{i}", page) for i in range(3)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    assert {r.text for r in html.main_texts(pages).collect()} == {inner}
+
+
 def test_many_comments_are_no_article():
     page = f"<html><body><div class='post'>{ARTICLE}</div><div id='comments'>{'<p>no, no. </p>' * 200}</div>"
     assert "no, no" not in html.main_text(html.blocks(page), [])
