@@ -2,10 +2,14 @@
 
 Base spans follow fixed patterns and checks (Luhn, octets, digit counts) and always
 stay. Wider patterns of high recall propose overlapping candidates on top. Gradient
-boosted trees learn from format and context features which candidates look like base
-spans; per kind, the probability from which at least ``PRECISION`` of the candidates
-kept back hold a base span is the threshold. Candidates above it that touch no base
-span are added, the most likely one of each overlapping cluster. Everything is column
+boosted trees learn from candidates that hold a base span of their kind, and from ones
+that are no such data (wrong counts of digits, dates, lists, spans of another kind); the
+others, in formats the base patterns do not know, are what the trees decide about and
+train nothing. So features leave out the marks by which base patterns tell formats. Per
+kind, the threshold is the lowest probability from which at least ``PRECISION`` of the
+candidates kept back hold a base span; a rule decides where there is none. Candidates
+above it that touch no base span, or hold a smaller one of their kind, are added, the
+most likely one of each overlapping cluster. Everything is column
 expressions, windows over the matches of one document, and Spark's own boosted trees.
 
 A match and the text around it come from splitting and extracting by the same pattern;
@@ -171,27 +175,71 @@ def touched(rows: DataFrame, keys: list[str]) -> Column:
     )
 
 
+def larger(rows: DataFrame) -> Column:
+    """Whether the span of a row holds a smaller base span of its kind, and cuts none."""
+    by = Window.partitionBy("_row", "kind").orderBy("start", F.desc("end"))
+    base = ~F.col("loose")
+    inner = F.min(F.when(base, F.struct("start", "end"))).over(
+        by.rowsBetween(0, Window.unboundedFollowing)
+    )
+    reach = F.max(F.when(base, F.col("end"))).over(by.rowsBetween(Window.unboundedPreceding, 0))
+    same = (inner["start"] == F.col("start")) & (inner["end"] == F.col("end"))
+    return (
+        F.coalesce((inner["end"] <= F.col("end")) & ~same, F.lit(False))
+        & ~F.coalesce(reach > F.col("start"), F.lit(False))
+    )
+
+
+def plain(match: Column) -> Column:
+    """A match without the marks of its format: words and numbers with blanks between."""
+    written = F.regexp_replace(match, r"\x20?[\[(](?:at|dot)[\])]\x20?", " ")
+    return F.trim(F.regexp_replace(written, r"[^\p{L}0-9]+", " "))
+
+
+def fails() -> Column:
+    """Whether a candidate cannot be data of its kind, in whatever format."""
+    match, kind = F.col("match"), F.col("kind")
+    count = F.length(digits(match))
+    dotted = F.regexp_replace(match, ",", ".")
+    listed = match.rlike(r"[.,]\x20") | (match.contains(",") & (match.contains(".") | (count < 7)))
+    date = match.rlike(
+        r"^(?:(?:19|20)[0-9]{2}[./-][0-9]{1,2}[./-][0-9]{1,2}|[0-9]{1,2}[./-][0-9]{1,2}[./-](?:19|20)[0-9]{2})$"
+    )
+    octets = match.rlike(r"^[0-9]{1,3}(?:\.[0-9]{1,3}){3}$") & passes("ip", match)
+    return (
+        F.when(kind == "ip", listed | ~passes("ip", dotted))
+        .when(kind == "card", ~count.between(16, 19))
+        .when(kind == "phone", ~count.between(8, 15) | date | octets)
+        .otherwise(False)
+    )
+
+
+def by_rule() -> Column:
+    """The decision where no trees or no threshold of a kind are to be had."""
+    number, before, kind = digits(F.col("match")), F.col("before"), F.col("kind")
+    card = before.rlike("(?i)(card|visa|pay)")
+    phone = before.rlike("(?i)(tel|phone|fax|call|mobile|contact)")
+    return (
+        F.when(kind == "card", number.rlike("^[2-6]") & (luhn(number) | card))
+        .when(kind == "phone", phone)
+        .otherwise(True)
+    )
+
+
 def features() -> dict[str, Column]:
-    """Format and context of a candidate."""
-    match, before, after = F.col("match"), F.col("before"), F.col("after")
-    size = F.length(match)
+    """Content and context of a candidate, without the marks of its format."""
+    match, before, after = plain(F.col("match")), F.col("before"), F.col("after")
     last = F.right(before, F.lit(1))
     number = digits(match)
-    count = lambda chars: size - F.length(F.regexp_replace(match, chars, ""))
+    count = lambda chars: F.length(match) - F.length(F.regexp_replace(match, chars, ""))
     flag = lambda condition: F.when(condition, 1.0).otherwise(0.0)
+    first = F.coalesce(F.left(number, F.lit(1)).try_cast("int"), F.lit(-1))
     return {
         **{f"is_{kind}": flag(F.col("kind") == kind) for kind in KINDS},
-        "size": size,
         "digits": F.length(number),
         "letters": count(r"\p{L}"),
-        "dots": count(r"\."),
-        "dashes": count("-"),
-        "blanks": count(r"\x20"),
-        "commas": count(","),
-        "brackets": count(r"[()\[\]]"),
-        "plus": flag(match.startswith("+")),
         "groups": F.size(F.split(match, "[^0-9]+")),
-        "first_digit": F.coalesce(F.left(number, F.lit(1)).try_cast("int"), F.lit(-1)),
+        "first_digit": F.when(F.col("kind") == "card", first).otherwise(-1),
         "long_part": F.array_max(F.transform(F.split(match, "[^0-9]+"), lambda p: F.length(p))),
         "after_blank": flag(last.rlike(r"\s") | (F.length(before) == 0)),
         "after_word": flag(last.rlike(r"[\p{L}0-9]")),
@@ -207,45 +255,45 @@ def added(all_spans: DataFrame, precision: float = PRECISION) -> DataFrame:
     """The candidates to redact beyond the base spans: ``_row``, kind, start, end."""
     values = {name: value.cast("double") for name, value in features().items()}
     marked = all_spans.withColumns(
-        {"_same": touched(all_spans, ["_row", "kind"]), "_any": touched(all_spans, ["_row"])}
+        {
+            "_same": touched(all_spans, ["_row", "kind"]),
+            "_any": touched(all_spans, ["_row"]),
+            "_more": larger(all_spans),
+        }
     ).where("loose")
     candidates = land(
         marked.withColumns(
             {
                 **values,
-                "label": F.col("_same").cast("double"),
+                "_fails": fails(),
+                "_rule": by_rule(),
+                # Null: a candidate to decide about.
+                "label": F.when(F.col("_same"), 1.0).when(F.col("_any") | fails(), 0.0),
                 "_fold": F.pmod(F.xxhash64("_row", "start", "end"), F.lit(1_000_000)),
             }
         ).drop("before", "after"),
         "candidates",
     )
-    nothing = candidates.select("_row", "kind", "start", "end").where("false")
-    n, hits = candidates.agg(F.count(F.lit(1)), F.sum("label")).first()
-    if n < FEWEST or not hits or hits == n:
-        return nothing
-    cells = VectorAssembler(inputCols=list(values), outputCol="_x").transform(candidates)
-    train = cells.where(F.col("_fold") < F.lit(int(min(700_000, 1e6 * SAMPLE / n))))
+    known = candidates.where("label IS NOT NULL")
+    n, hits = known.agg(F.count(F.lit(1)), F.sum("label")).first()
+    train = known.where(F.col("_fold") < F.lit(int(min(700_000, 1e6 * SAMPLE / max(1, n)))))
     present = train.agg(F.min("label"), F.max("label")).first()
-    if present[0] == present[1]:
-        return nothing
+    columns = ["_row", "kind", "start", "end", "label", "_any", "_more", "_fails", "_rule", "_fold"]
+    if n < FEWEST or present[0] == present[1]:
+        scored = candidates.select(*columns, F.lit(1.0).alias("_p"))
+        return _chosen(scored, {})
+    assembler = VectorAssembler(inputCols=list(values), outputCol="_x")
     trees = GBTClassifier(
         featuresCol="_x", labelCol="label", maxIter=TREES, maxDepth=DEPTH, maxBins=32, seed=7
-    ).fit(train)
+    ).fit(assembler.transform(train))
     scored = land(
-        trees.transform(cells).select(
-            "_row",
-            "kind",
-            "start",
-            "end",
-            "label",
-            "_any",
-            "_fold",
-            vector_to_array("probability")[1].alias("_p"),
+        trees.transform(assembler.transform(candidates)).select(
+            *columns, vector_to_array("probability")[1].alias("_p")
         ),
         "scored",
     )
     bins = (
-        scored.where(F.col("_fold") >= 700_000)
+        scored.where((F.col("_fold") >= 700_000) & F.col("label").isNotNull())
         .groupBy("kind", F.floor(F.col("_p") * BINS).alias("bin"))
         .agg(F.sum("label").alias("hits"), F.count(F.lit(1)).alias("rows"))
         .collect()  # at most kinds x (BINS + 1) rows
@@ -255,13 +303,17 @@ def added(all_spans: DataFrame, precision: float = PRECISION) -> DataFrame:
         hits = rows = 0.0
         for row in sorted((r for r in bins if r["kind"] == kind), key=lambda r: -r["bin"]):
             hits, rows = hits + row["hits"], rows + row["rows"]
-            if hits / rows < precision:
-                break
-            thresholds[kind] = row["bin"] / BINS
-    limit = F.lit(2.0)
+            if hits / rows >= precision:
+                thresholds[kind] = row["bin"] / BINS
+    return _chosen(scored, thresholds)
+
+
+def _chosen(scored: DataFrame, thresholds: dict[str, float]) -> DataFrame:
+    """The most likely candidate of each cluster, by threshold or else by the rule."""
+    taken = F.col("_rule")
     for kind, threshold in thresholds.items():
-        limit = F.when(F.col("kind") == kind, F.lit(threshold)).otherwise(limit)
-    likely = scored.where((F.col("_p") >= limit) & ~F.col("_any"))
+        taken = F.when(F.col("kind") == kind, F.col("_p") >= threshold).otherwise(taken)
+    likely = scored.where(taken & ~F.col("_fails") & (~F.col("_any") | F.col("_more")))
     by = Window.partitionBy("_row").orderBy("start", "end", "kind")
     gap = F.col("start") >= F.max("end").over(by.rowsBetween(Window.unboundedPreceding, -1))
     clusters = likely.withColumn("_new", F.when(gap, 1).otherwise(0)).withColumn(
@@ -292,8 +344,9 @@ def personal_data(docs: DataFrame, precision: float = PRECISION) -> DataFrame:
     base_sha256, spans.
 
     A null text counts as empty; a document without a span has counts of zero, the
-    digest of the empty string and an empty ``spans``. Repeated rows get a row each. Too
-    few candidates, or only one class of them, add nothing. An empty table gives an
+    digest of the empty string and an empty ``spans``. Repeated rows get a row each. With
+    fewer than ``FEWEST`` candidates to learn from, or only one class of them, a rule on
+    format and context decides what is added. An empty table gives an
     empty result. Other columns are not looked at.
     """
     found = matches(docs)

@@ -435,6 +435,36 @@ def test_candidates_like_cards_are_added(spark):
     assert not any(found[2000 + i] for i in range(60))
 
 
+WIDER = {
+    100_001: ("call me at 372 555-7739 today", "phone:11:23"),
+    100_002: ("mail jo.doe [at] example [dot] org now", "email:5:34"),
+    100_003: ("the card 4111.1111.1111.1111 of somebody", "card:9:28"),
+    100_004: ("address 192,168,17,201 of it", "ip:8:22"),
+    100_005: ("on the day 2024-05-17 and 1, 2, 3, 4 more", ""),
+    100_006: ("mail äjo@example.org now", "email:5:20,email:6:20"),
+}
+
+
+@pytest.mark.parametrize("many", [True, False])
+def test_wider_formats_are_added(spark, many):
+    """Formats that no base pattern knows, beside many base spans and by themselves."""
+    rows = [(i, text) for i, (text, _) in WIDER.items()]
+    for i in range(150 if many else 0):
+        a, b, c = 100 + 7 * i % 900, 200 + 11 * i % 800, 1000 + 37 * i % 9000
+        rows += [
+            (4 * i, f"call me at +1 ({a}) {b}-{c} today"),
+            (4 * i + 1, f"mail a{i}.b@host{i % 9}.org now"),
+            (4 * i + 2, f"address {i + 20}.{a % 156 + 100}.{b % 156 + 100}.{c % 256} of it"),
+        ]
+        number = f"4{c:04d}{a}{b}{c:04d}"
+        rows += [(4 * i + 3, next(f"the card {number}{d} of it" for d in range(10) if luhn(f"{number}{d}")))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = {r.doc_id: r.spans for r in pii.personal_data(docs).collect()}
+    assert {i: found[i] for i in WIDER} == {i: spans for i, (_, spans) in WIDER.items()}
+    if many:  # addresses are no phone numbers
+        assert all(found[4 * i + 2].startswith("ip") and "phone" not in found[4 * i + 2] for i in range(150))
+
+
 # --- pages ---------------------------------------------------------------------------
 
 PAGE = (
