@@ -10,13 +10,16 @@ from barline.llm import (
     classifier,
     exact,
     html,
+    lattice,
     mixing,
     packing,
     pii,
     rules,
     sharding,
     simhash,
+    trie,
     warc,
+    whitening,
 )
 from barline.llm.common import table
 
@@ -90,3 +93,24 @@ def op10_quality_classifier(spark, folder):
     return classifier.quality_scores(
         table(spark, folder, "documents"), table(spark, folder, "labels")
     )
+
+
+@query
+def op11_conversation_trie(spark, folder):
+    return trie.prefix_trie(table(spark, folder, "conversations"))
+
+
+ORACLE["op11_conversation_trie"] = trie.ORACLE
+
+
+@query
+def op12_embedding_dedup(spark, folder):
+    return lattice.near_duplicates(table(spark, folder, "embeddings"))
+
+
+ORACLE["op12_embedding_dedup"] = lattice.ORACLE
+
+
+@query
+def op13_embedding_whitening(spark, folder):
+    return whitening.whitened(table(spark, folder, "embeddings"))
