@@ -4,6 +4,8 @@ import pytest
 
 import __spark_entry__ as contract
 from tools.check_oracle import connect, differences
+from workload.oracle import ORACLE
+from workload.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 CROSS_SECTION = (
@@ -35,9 +37,14 @@ def test_query_equals_its_sql(spark, sql, name):
 
 
 def test_every_query_has_sql_but_the_models():
-    missing = set(contract.queries()) - set(contract.oracle_sql())
+    missing = set(QUERIES) - set(ORACLE)
     assert missing == {"model_scores_pooled", "model_scores_per_ticker", "model_strategy_fact"}
-    assert not set(contract.oracle_sql()) - set(contract.queries())
+    assert not set(ORACLE) - set(QUERIES)
+
+
+def test_the_contract_has_every_query():
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(ORACLE) <= set(contract.oracle_sql()) <= set(contract.queries())
 
 
 def test_entry_runs(spark):
