@@ -2,6 +2,9 @@
 
 Each stage takes the documents its predecessor kept and returns a table; ``run`` writes
 it as Parquet into the shared folder and reads it back as the next stage's documents.
+What a stage has landed on its way is dropped once its result is written: by ``run`` for its
+own stages, and, for those who call ``STAGES`` one after the other, by the next stage.
+The last stage's tables stay, as its result reads them.
 """
 
 from __future__ import annotations
@@ -10,32 +13,42 @@ from barline.llm import classifier, exact, mixing, packing, simhash
 from barline.llm.common import table
 from barline.plans import drop_landed, land, landed
 
-# Tables the stage before has landed: its result is written when the next one starts.
-_before: list[str] = []
+_BUILD = [
+    (
+        "quality_classifier",
+        lambda spark, docs, sf: classifier.accepted(docs, table(spark, sf, "labels")),
+    ),
+    ("exact_dedup", lambda spark, docs, sf: exact.without_copies(docs)),
+    ("simhash_near_dedup", lambda spark, docs, sf: simhash.one_of_each(docs)),
+    ("mixing", lambda spark, docs, sf: mixing.mix_documents(docs)),
+    ("packing", lambda spark, docs, sf: packing.packed(docs)),
+]
+
 
+def _built(build, spark, docs, sf_dir):
+    """The result of a stage, and the tables it has landed."""
+    known = set(landed(spark))
+    result = build(spark, docs, sf_dir)
+    return result, [path for path in landed(spark) if path not in known]
 
-def stage(build):
-    """A stage that first drops what the stage before has landed on its way."""
 
+# Stage -> tables landed by its last call through STAGES; ``run`` has no part in it.
+_left: dict[str, list[str]] = {}
+
+
+def _stage(name, build, before):
     def run_stage(spark, docs, sf_dir):
-        drop_landed(spark, _before)
-        known = set(landed(spark))
-        result = build(spark, docs, sf_dir)
-        _before[:] = [path for path in landed(spark) if path not in known]
+        """Needs the result of the stage before written, as its tables are dropped first."""
+        drop_landed(spark, _left.pop(before, ()))
+        result, _left[name] = _built(build, spark, docs, sf_dir)
         return result
 
-    return run_stage
+    return name, run_stage
 
 
 STAGES = [
-    (
-        "quality_classifier",
-        stage(lambda spark, docs, sf: classifier.accepted(docs, table(spark, sf, "labels"))),
-    ),
-    ("exact_dedup", stage(lambda spark, docs, sf: exact.without_copies(docs))),
-    ("simhash_near_dedup", stage(lambda spark, docs, sf: simhash.one_of_each(docs))),
-    ("mixing", stage(lambda spark, docs, sf: mixing.mix_documents(docs))),
-    ("packing", stage(lambda spark, docs, sf: packing.packed(docs))),
+    _stage(name, build, before)
+    for (name, build), before in zip(_BUILD, [None, *[name for name, _ in _BUILD]], strict=False)
 ]
 
 # Scores, fingerprints and token ids have no SQL form; the tests hold run() against a
@@ -44,7 +57,10 @@ ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
-    for name, build in STAGES[:-1]:
-        docs = land(build(spark, docs, sf_dir), name)
-    return STAGES[-1][1](spark, docs, sf_dir)
+    docs, former = table(spark, sf_dir, "documents"), []
+    for name, build in _BUILD[:-1]:
+        result, mine = _built(build, spark, docs, sf_dir)
+        docs = land(result, name)
+        drop_landed(spark, [*mine, *former])
+        former = landed(spark)[-1:]  # the table just written
+    return _BUILD[-1][1](spark, docs, sf_dir)
