@@ -65,63 +65,68 @@ class WordTokenizer:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("H", x.ids).tobytes() for x in found]
 
-    def _learn(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of unseen words. A final comma or full stop after a letter is a token of
-        its own, so the word before it is looked up by itself."""
-        known, tail, bare = self.known, {}, set()
-        for word in words:
-            if word[-1] in ",." and len(word) > 1 and word[-2].isalpha():
-                tail[word] = (word[:-1], word[-1])
-                bare.update(tail[word])
+    def _learn(self, unseen: set[str]) -> None:
+        """Note the ids of unseen words. A final comma or full stop after a letter is a token
+        of its own, so the word before it is looked up by itself."""
+        known, tokens = self.known, self.tokenizer.model.tokenize
+        tails, others, stems = [], [], set()
+        for word in unseen:
+            if word.isalpha():
+                stems.add(word)
+            elif word[-1] in ",." and word[-2:-1].isalpha():
+                tails.append(word)
+                others.append(word[-1])
+                if word[:-1].isalpha():
+                    stems.add(word[:-1])
+                else:
+                    others.append(word[:-1])
             else:
-                bare.add(word)
-        unseen = [word for word in bare if word not in known]
-        fresh: dict[str, bytes] = {}
-        letters = [word for word in unseen if word.isalpha()]
-        others = [word for word in unseen if not word.isalpha()]
-        tokens = self.tokenizer.model.tokenize
-        for word in letters:
-            found = tokens(word.encode().decode("latin-1").translate(_BYTE_CHARS))
-            fresh[word] = array("H", [x.id for x in found]).tobytes()
-        if others:
-            fresh.update(zip(others, self._encoded(others), strict=True))
-        for word, (stem, mark) in tail.items():
-            fresh[word] = b"".join(fresh[x] if x in fresh else known[x] for x in (stem, mark))
-        room = REMEMBERED - len(known)
-        if room > 0:
-            known.update(fresh if len(fresh) <= room else dict(list(fresh.items())[:room]))
-        return fresh
+                others.append(word)
+        for word in stems:
+            if word not in known:
+                # Letters of ASCII stand for themselves.
+                spelt = word if word.isascii() else word.encode().decode("latin-1").translate(_BYTE_CHARS)
+                known[word] = array("H", [x.id for x in tokens(spelt)]).tobytes()
+        others = [word for word in dict.fromkeys(others) if word not in known]
+        known.update(zip(others, self._encoded(others), strict=True))
+        for word in tails:
+            known[word] = known[word[:-1]] + known[word[-1]]
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """For every text its ids as little-endian unsigned 16-bit numbers, and the end id."""
         out: list[bytes | None] = [None] * len(texts)
         split: list[tuple[int, list[str]]] = []
-        unseen: set[str] = set()
-        known = self.known
+        words: set[str] = set()
         for i, text in enumerate(texts):
-            try:
-                text.encode("latin-1")
-            except UnicodeEncodeError:
-                out[i] = self._encoded([text])[0] + self.end
-                continue
             # Special tokens are found before the text is cut into words, and some control
             # characters are white space for Python only.
-            if "<|" in text or any(c in text for c in "\x1c\x1d\x1e\x1f"):
+            if not _latin(text) or "<|" in text or any(c in text for c in "\x1c\x1d\x1e\x1f"):
                 out[i] = self._encoded([text])[0] + self.end
                 continue
-            words = text.lower().split()
-            split.append((i, words))
-            unseen.update(set(words).difference(known))
-        if unseen:
-            fresh = self._learn(sorted(unseen))
-            for i, words in split:
-                out[i] = b"".join([known[w] if w in known else fresh[w] for w in words]) + self.end
-        else:
-            for i, words in split:
-                out[i] = b"".join(map(known.__getitem__, words)) + self.end
+            found = text.lower().split()
+            split.append((i, found))
+            words.update(found)
+        known, room = self.known, max(REMEMBERED, len(self.known))
+        words.difference_update(known)
+        if words:
+            self._learn(words)
+        for i, found in split:
+            out[i] = b"".join(map(known.__getitem__, found)) + self.end
+        while len(known) > room:  # the words learned last go
+            known.popitem()
         return out
 
 
+def _latin(text: str) -> bool:
+    if text.isascii():
+        return True
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 def token_table(docs: DataFrame, path: str | None = None, end: int = END) -> DataFrame:
     """One row per document: ``_row``, ``_id``, source, shuffle key, ``_n`` and ``_ids``."""
     path = path or vocabulary_path()
