@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barline.plans import number_rows
+from barline.plans import asof_join, number_rows
 
 PRICES = ("open", "high", "low", "close", "adj_close")
 LOCAL_SUFFIX = ".MX"
@@ -101,6 +101,22 @@ def fx_fill(bars: DataFrame, fx: DataFrame) -> DataFrame:
     )
 
 
+def fx_asof(bars: DataFrame, fx: DataFrame, staleness: int | None = None) -> DataFrame:
+    """Add ``fx_close``, the last known rate at or before the bar's date, and ``fx_close_at``.
+
+    ``staleness`` is how many days old it may be (default: any). Unlike ``fx_fill`` no bar is
+    dropped: one on a date without a rate row takes the rate before, one before the first
+    rate has NULL. The dates of the bars, of which a DATE column has at most 3.65 million, meet
+    the rates; bars then join by date.
+    """
+    _dates_only(bars, "dt")
+    _dates_only(fx, "fx_dt")
+    dates = bars.select("dt").where(F.col("dt").isNotNull()).distinct()
+    rates = _rates_by_date(fx).withColumnRenamed("fx_dt", "dt")
+    dated = asof_join(dates, rates, [], "dt", "fx_close", staleness=staleness)
+    return bars.join(F.broadcast(dated), "dt", "left")
+
+
 def fx_convert(df: DataFrame, local_suffix: str = LOCAL_SUFFIX) -> DataFrame:
     """Prices in the model currency; tickers with the local suffix (any case) stay as they are."""
     local = F.col("ticker").ilike(f"%{local_suffix}")

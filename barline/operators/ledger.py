@@ -56,10 +56,17 @@ def with_scores(evaluation: DataFrame, scores: DataFrame) -> DataFrame:
     """Evaluation rows with ``p_short, p_cash, p_long`` of the same ticker and date.
 
     A row without scores stays in cash (0, 1, 0): no row is lost and ``rn`` keeps its order.
+    A second row of scores for one (ticker, dt) is an error. The check is an aggregate on the
+    keys of the join, which shuffles the scores on them in any case.
     """
-    joined = evaluation.join(
-        scores.select("ticker", "dt", "p_short", "p_cash", "p_long"), ["ticker", "dt"], "left"
+    repeated = F.raise_error(F.lit("two rows of scores with one (ticker, dt)")).cast("double")
+    single = scores.groupBy("ticker", "dt").agg(
+        *[
+            F.when(F.count(F.lit(1)) == 1, F.max(name)).otherwise(repeated).alias(name)
+            for name in ("p_short", "p_cash", "p_long")
+        ]
     )
+    joined = evaluation.join(single, ["ticker", "dt"], "left")
     unscored = F.col("p_short").isNull() | F.col("p_cash").isNull() | F.col("p_long").isNull()
     cash = {"p_short": 0.0, "p_cash": 1.0, "p_long": 0.0}
     return joined.withColumns(

@@ -77,8 +77,14 @@ def last_values(fact: DataFrame) -> DataFrame:
 
 
 def ticker_summary(fact: DataFrame) -> DataFrame:
-    """Everything the measures need per ticker; all aggregates are fixed-width and hashed."""
+    """Everything the measures need per ticker; all aggregates are fixed-width and hashed.
+
+    Where the fact numbers its rows, the last values come with the sums, in one pass.
+    """
+    numbered = "rn" in fact.columns
+    last = [F.max_by(c, "rn").alias(c) for c in ("cum_net", "cum_bm")] if numbered else []
     sums = fact.groupBy("ticker").agg(
+        *last,
         F.sum("gross_ret").alias("gross_ret"),
         *[F.sum(c).alias(c) for c in COSTS],
         _hits().alias("hits"),
@@ -89,7 +95,7 @@ def ticker_summary(fact: DataFrame) -> DataFrame:
         F.stddev_samp("net_ret").alias("sd_net"),
         F.stddev_samp("bm_ret").alias("sd_bm"),
     )
-    return sums.join(last_values(fact), "ticker")
+    return sums if numbered else sums.join(last_values(fact), "ticker")
 
 
 def asset_summary(fact: DataFrame, dim: DataFrame, where: Column | str | None = None) -> DataFrame:
@@ -153,8 +159,8 @@ def equity_curve(
     """Summed cumulated returns by date: overall, by class, by sector and by ticker.
 
     ``scope`` names the slice; the columns it does not use are NULL. The fact has one row
-    per date and ticker, which is the ticker slice; the others come from its sums by date,
-    class and sector, so no row is multiplied.
+    per date and ticker, which is the ticker slice and needs no class or sector; the others
+    come from its sums by date, class and sector, so no row is multiplied.
     """
     rows = star_join(fact, dim, where)
     curves = ("cum_net", "cum_bm")
@@ -169,7 +175,10 @@ def equity_curve(
     grouped = sums.groupingSets(
         [[F.col(c) for c in s] for s in slices], "dt", "asset_class", "sector"
     ).agg(scope.alias("scope"), *[F.sum(c).alias(c) for c in curves])
-    by_ticker = rows.select(
+    single = fact
+    if where is not None:
+        single = fact.join(filtered(dim, where).select("ticker"), "ticker", "left_semi")
+    by_ticker = single.select(
         "dt",
         none.alias("asset_class"),
         none.alias("sector"),

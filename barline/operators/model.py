@@ -21,6 +21,8 @@ from barline.operators.indicators import WINDOWS
 from barline.plans import attach_spread, spread_of
 
 SCORES = ("p_short", "p_cash", "p_long")
+# Scores where nothing was learned: the strategy stays in cash, as it does without scores.
+CASH = {"p_short": 0.0, "p_cash": 1.0, "p_long": 0.0}
 CLASSES = (-1, 0, 1)
 RIDGE = 0.1
 
@@ -50,9 +52,9 @@ def pooled_scores(
             (F.col("y") + 1).cast("double").alias("label"),
             "weight",
         )
-        if rows.isEmpty():  # nothing to learn from: even odds
-            even = [F.lit(1.0 / len(SCORES)).alias(name) for name in SCORES]
-            unlearned.append(test.where(F.col("win") == win).select("ticker", "dt", *even))
+        if rows.isEmpty():  # nothing to learn from
+            cash = [F.lit(CASH[name]).alias(name) for name in SCORES]
+            unlearned.append(test.where(F.col("win") == win).select("ticker", "dt", *cash))
             continue
         fit = LogisticRegression(
             family="multinomial", weightCol="weight", maxIter=max_iter, regParam=reg
@@ -141,7 +143,7 @@ def ticker_scores(samples: DataFrame) -> DataFrame:
     over any cut of the rows: each task reduces its own batches, Spark adds the
     partial moments, and only three rows per ticker reach the solve. No group of
     samples is ever gathered, however long a ticker's history is. A ticker without
-    training samples gets even odds.
+    training samples stays in cash.
     """
     moments = class_moments(samples)
     parameters = ", ".join(f"w_{s} array<double>, b_{s} double" for s in SCORES)
@@ -157,9 +159,8 @@ def ticker_scores(samples: DataFrame) -> DataFrame:
     top = F.greatest(*SCORES)  # skips the NULL of a class that never occurred
     odds = {s: F.coalesce(F.exp(F.col(s) - top), F.lit(0.0)) for s in SCORES}
     total = odds["p_short"] + odds["p_cash"] + odds["p_long"]
-    even = F.lit(1.0 / len(SCORES))
     return scored.select(
         "ticker",
         "dt",
-        *[F.when(top.isNull(), even).otherwise(odds[s] / total).alias(s) for s in SCORES],
+        *[F.when(top.isNull(), F.lit(CASH[s])).otherwise(odds[s] / total).alias(s) for s in SCORES],
     )

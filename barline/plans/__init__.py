@@ -1,3 +1,4 @@
+from barline.plans.asof import asof_join
 from barline.plans.blocks import (
     BLOCK_ROWS,
     attach_per_key,
@@ -14,6 +15,7 @@ from barline.plans.rolling import rolling_means
 
 __all__ = [
     "BLOCK_ROWS",
+    "asof_join",
     "attach_per_key",
     "attach_spread",
     "block_of",

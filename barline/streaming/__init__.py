@@ -7,16 +7,21 @@ from barline.streaming.bars import (
     versioned_sink,
     windowed_bars,
 )
+from barline.streaming.features import BAR, keep_features, late_bars, streamed_features
 from barline.streaming.signals import keep_latest_signals, signals
 
 __all__ = [
+    "BAR",
     "bar_parts",
     "ingest_bars",
+    "keep_features",
     "keep_latest_signals",
+    "late_bars",
     "latest_versions",
     "merged_bars",
     "run_available",
     "signals",
+    "streamed_features",
     "versioned_sink",
     "windowed_bars",
 ]

@@ -107,6 +107,25 @@ def test_evaluation_rows_start_after_the_first_window(spark):
     assert [(r.dt, r.rn, r.n) for r in got] == [(day(10 + i), i + 1, 3) for i in range(3)]
 
 
+def test_a_second_row_of_scores_for_one_key_is_an_error(spark):
+    rows = spark.createDataFrame(
+        [("t", day(0), 1, 1, 0.01, 0.3, 0.01)],
+        "ticker string, dt date, rn bigint, n bigint, bm_ret double, adx double, avg_vol double",
+    )
+    score = "ticker string, dt date, p_short double, p_cash double, p_long double"
+    one = spark.createDataFrame([("t", day(0), 0.1, 0.2, 0.7), ("t", day(1), 0.1, 0.2, 0.7)], score)
+    assert ledger.positions(ledger.with_scores(rows, one)).first().pos == 1
+    with pytest.raises(Exception, match="two rows of scores"):
+        ledger.with_scores(rows, one.unionByName(one)).collect()
+
+
+def test_a_summary_without_row_numbers_takes_the_last_date(star):
+    fact, _ = star
+    want = sorted(map(tuple, measures.ticker_summary(fact).select("ticker", "cum_net", "cum_bm", "hits").collect()))
+    plain = measures.ticker_summary(fact.drop("rn", "n")).select("ticker", "cum_net", "cum_bm", "hits")
+    assert sorted(map(tuple, plain.collect())) == want
+
+
 # --- measures ---------------------------------------------------------------------
 
 

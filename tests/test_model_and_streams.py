@@ -55,6 +55,20 @@ def test_ticker_scores(sample_table):
     assert all(r.p_cash == 0.0 for r in got if r.ticker == "b")
 
 
+def test_what_has_learned_nothing_stays_in_cash(sample_table):
+    """A ticker without training samples, and a window length without any."""
+    from barline.operators import ledger
+
+    untrained = sample_table.where("ticker = 'a' or split = 'test'")
+    for scores in (
+        model.ticker_scores(untrained),
+        model.pooled_scores(untrained, samples.class_weights(untrained)),
+    ):
+        idle = scores.where("ticker = 'b'").withColumn("adx", F.lit(0.3))
+        assert {(r.p_short, r.p_cash, r.p_long) for r in idle.collect()} == {(0.0, 1.0, 0.0)}
+        assert {r.pos for r in ledger.positions(idle).select("pos").collect()} == {0}
+
+
 def test_ticker_scores_match_the_closed_form(sample_table):
     rows = [r for r in sample_table.where("ticker = 'a'").collect()]
     train = [r for r in rows if r.split == "train"]

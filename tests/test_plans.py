@@ -4,7 +4,8 @@ import re
 
 import pytest
 
-from barline.operators import indicators
+from barline import sources
+from barline.operators import indicators, measures
 from workload import tables
 from workload.queries import QUERIES
 
@@ -13,7 +14,7 @@ MODELS = {
     "model_scores_pooled", "model_scores_per_ticker", "model_strategy_fact", "class_moments",
     "model_score_rows",
 }
-STREAMS = {"stream_ingest_bars", "stream_hourly_bars", "stream_latest_signal"}
+STREAMS = {"stream_ingest_bars", "stream_hourly_bars", "stream_latest_signal", "stream_master_features"}
 # parts of master_features, label_next and strategy_fact
 PARTS = {
     "moving_avgs", "rolling_vol", "volume_z", "true_range", "atr_norm", "rsi_norm", "dir_movement",
@@ -111,3 +112,29 @@ def test_ticker_predicate_reaches_the_scan(spark):
     text = plan(QUERIES["ticker_history"](spark, FOLDER))
     assert re.search(r"PushedFilters: \[[^\]]*EqualTo\(ticker,ECONOMY\)", text)
     assert "Exchange" not in text
+
+
+def test_features_from_the_layout_shuffle_no_row(spark):
+    layout = tables.staged_layout(spark, FOLDER)
+    text = plan(sources.layout_features(layout))
+    assert "Exchange" not in text
+    assert "Bucketed: true" in text
+    assert sources.layout_features(layout).count() == QUERIES["master_features"](spark, FOLDER).count()
+
+
+def test_a_universe_prunes_the_lanes_of_the_layout(spark):
+    text = plan(QUERIES["master_features_slice"](spark, FOLDER))
+    assert re.search(r"PartitionFilters: \[[^\]]*dynamicpruning", text)
+    # Only the universe is shuffled, one row per ticker.
+    rows = [e for e in exchanges(text) if "block" in e]
+    assert rows == []
+
+
+@pytest.mark.parametrize(
+    "name", ["kpi_scorecard", "perf_by_asset", "alpha_by_class", "best_asset", "cost_impact"]
+)
+def test_measures_read_the_fact_once(spark, name):
+    fact, dim = tables.staged_fact(spark, FOLDER), tables.staged_assets(spark, FOLDER)
+    text = plan(getattr(measures, name)(fact, dim))
+    assert text.count("FileScan") == 2  # fact and dimension
+    assert "SortAggregate" not in text

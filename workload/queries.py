@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barline import sources, streaming
-from barline.operators import fx, indicators, labels, ledger, measures, model, regime, samples
+from barline.operators import fx, incremental, indicators, labels, ledger, measures, model, regime, samples
+from barline.plans import asof_join, land
 from barline.plans.landing import new_path
 from workload import tables
 
@@ -124,6 +125,16 @@ def replaced_table(spark, folder):
     return sources.read_table(spark, path)
 
 
+@query
+def snapshot_table(spark, folder):
+    """A table replaced three times through its pointer, the last time from itself."""
+    bars, path = tables.staged_bars(spark, folder), new_path(spark, "snapshots")
+    sources.replace_snapshot(sources.lookback(bars, AS_OF), path)
+    sources.replace_snapshot(bars, path)
+    sources.replace_snapshot(sources.read_snapshot(spark, path), path)
+    return sources.read_snapshot(spark, path)
+
+
 # --- currency ---------------------------------------------------------------------
 
 
@@ -142,6 +153,41 @@ def fx_one_step_fill(spark, folder):
     return filled.select("ticker", "dt", "fx_close")
 
 
+def _asof(spark, folder, staleness: int | None) -> DataFrame:
+    bars, rates = _bars_and_rates(spark, folder)
+    return fx.fx_asof(bars, rates, staleness).select("ticker", "dt", "fx_close", "fx_close_at")
+
+
+@query
+def fx_asof_1(spark, folder):
+    """The last known rate, at most a day old."""
+    return _asof(spark, folder, 1)
+
+
+@query
+def fx_asof_3(spark, folder):
+    return _asof(spark, folder, 3)
+
+
+@query
+def fx_asof(spark, folder):
+    return _asof(spark, folder, None)
+
+
+@query
+def benchmark_asof(spark, folder):
+    """For every bar of the wide universe the last close of its part type, at most 5 days old,
+    the day itself left out of half of the types' bars."""
+    wide = tables.staged_bars(spark, folder, wide=True)
+    kind = F.substring_index("ticker", "-", -1)
+    types = tables.staged_bars(spark, folder).where(F.unix_date("dt") % 2 == 0)
+    closes = types.select(
+        F.regexp_replace("ticker", "(?i)\\.mx$", "").alias("kind"), "dt", F.col("close").alias("bm_close")
+    )
+    asked = wide.select("ticker", kind.alias("kind"), "dt", "close")
+    return asof_join(asked, closes, ["kind"], "dt", "bm_close", staleness=5, bucket=256)
+
+
 @query
 def fx_convert(spark, folder):
     priced = fx.fx_convert(fx.fx_fill(*_bars_and_rates(spark, folder)))
@@ -225,6 +271,71 @@ def master_features_wide(spark, folder):
     return rounded(table.drop("rn", "n", "next_ret"))
 
 
+@query
+def bars_with_nan(spark, folder):
+    """Vendor bars with NaN in place of some closes and volumes: NaN counts as missing."""
+    bars, rates = _bars_and_rates(spark, folder)
+    day, nan = F.unix_date("dt"), F.lit(float("nan"))
+    holes = {
+        "close": F.when(day % 41 == 0, nan).otherwise(F.col("close")),
+        "volume": F.when(day % 67 == 0, nan).otherwise(F.col("volume").cast("double")),
+    }
+    vendor = sources.canonical_bars(bars.withColumns(holes))
+    table = indicators.master_features(vendor, rates)
+    return rounded(table.drop("rn", "n", "next_ret"))
+
+
+@query
+def repeated_bar_keys(spark, folder):
+    """Quality check on bars from two feeds: keys that both of them have."""
+    bars = tables.staged_bars(spark, folder)
+    feeds = sources.concat_bars(bars, bars.where(F.unix_date("dt") % 29 == 0))
+    return sources.duplicate_keys(feeds, "ticker", "dt")
+
+
+@query
+def master_features_incremental(spark, folder):
+    """The table of features after two updates: bars of the first years, some of them late or
+    wrong, then the rest with what was late and corrections of what was wrong."""
+    bars, rates = _bars_and_rates(spark, folder)
+    day, path = F.unix_date("dt"), new_path(spark, "incremental")
+    wrong = F.when(day % 97 == 0, F.lit(1.25)).otherwise(F.lit(1.0))
+    early = bars.where((F.col("dt") < "1996-01-01") & (day % 13 != 5)).withColumns(
+        {c: F.col(c) * wrong for c in ("high", "close")}
+    )
+    incremental.update_features(path, early, rates)
+    changed = bars.where((F.col("dt") >= "1996-01-01") | (day % 13 == 5) | (day % 97 == 0))
+    incremental.update_features(path, bars, rates, changed)
+    return rounded(incremental.read_features(spark, path).drop("next_ret"))
+
+
+@query
+def master_features_corrected(spark, folder):
+    """Days of one ticker come in wrong and are corrected: its neighbourhood alone is renewed."""
+    bars, rates = _bars_and_rates(spark, folder)
+    days, path = F.col("dt").between("1995-03-01", "1995-03-20"), new_path(spark, "corrected")
+    hit = days & (F.col("ticker") == "ECONOMY")
+    first = bars.withColumns({c: F.when(hit, F.col(c) * 2).otherwise(F.col(c)) for c in ("low", "close")})
+    incremental.update_features(path, first, rates)
+    incremental.update_features(path, bars, rates, bars.where(hit))
+    return rounded(incremental.read_features(spark, path).drop("next_ret"))
+
+
+@query
+def master_features_layout(spark, folder):
+    """The features from bars laid out for them; no row is shuffled."""
+    table = sources.layout_features(tables.staged_layout(spark, folder))
+    return rounded(table.drop("rn", "n", "next_ret"))
+
+
+@query
+def master_features_slice(spark, folder):
+    """The features of one asset class, from the lanes of its tickers alone."""
+    equity = tables.staged_assets(spark, folder).where("asset_class = 'equity'")
+    part = sources.in_lanes(tables.staged_layout(spark, folder), equity)
+    return rounded(sources.layout_features(part).drop("rn", "n", "next_ret"))
+
+
 @query
 def ticker_history(spark, folder):
     features = tables.staged_features(spark, folder)
@@ -544,6 +655,24 @@ def stream_latest_signal(spark, folder):
     return streaming.signals(spark, out)
 
 
+@query
+def stream_master_features(spark, folder):
+    """Converted bars in six files, days out of order by up to a third of a year, a file per
+    batch; must equal the features of all bars at once."""
+    bars, rates = _bars_and_rates(spark, folder)
+    converted = fx.fx_convert(fx.fx_fill(bars, rates)).select(*streaming.BAR)
+    path, files = new_path(spark, "bar-files"), 6
+    day = F.unix_date("dt") - F.unix_date(F.lit("1992-01-01").cast("date"))
+    place = F.floor((day + F.pmod(F.xxhash64("ticker", "dt"), F.lit(120))) / F.lit(600))
+    numbered = land(converted.withColumn("_file", F.least(F.lit(files - 1), place)), "numbered-bars")
+    for i in range(files):  # one after the other, as they come in
+        numbered.where(F.col("_file") == i).drop("_file").coalesce(1).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(converted.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    out, checkpoint = new_path(spark, "stream-features"), new_path(spark, "stream-features-state")
+    streaming.run_available(stream, streaming.keep_features(out), checkpoint, mode="append")
+    return rounded(streaming.streamed_features(spark, out).drop("next_ret"))
+
+
 # --- long series: the same operators with small blocks -------------------------------
 
 

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from barline.functions import order_key
 from barline.operators import indicators, labels, ledger
 from barline.plans import land
-from barline.sources import asset_dimension, build_bars, daily_rates
+from barline.plans.landing import new_path
+from barline.sources import asset_dimension, build_bars, daily_rates, write_layout
 
 CALM_TYPES = ("SMALL", "MEDIUM", "LARGE")
 
@@ -40,6 +41,16 @@ def staged(
     return _landed[key]
 
 
+def staged_as(
+    spark: SparkSession, folder: str, name: str, write: Callable[[], DataFrame]
+) -> DataFrame:
+    """As ``staged``, for what lands itself."""
+    key = (spark.sparkContext.applicationId, folder, name)
+    if key not in _landed:
+        _landed[key] = write()
+    return _landed[key]
+
+
 def forget_staged() -> None:
     """Make the next query build its stages again."""
     _landed.clear()
@@ -178,6 +189,23 @@ def staged_bars(spark: SparkSession, folder: str, wide: bool = False) -> DataFra
     return staged(spark, folder, "bars", lambda: bars(spark, folder))
 
 
+def staged_layout(spark: SparkSession, folder: str) -> DataFrame:
+    """The bars laid out for features (blocks of 1,000 bars)."""
+    path = new_path(spark, "layout")
+    return staged_as(
+        spark,
+        folder,
+        "layout",
+        lambda: write_layout(
+            staged_bars(spark, folder),
+            staged_rates(spark, folder),
+            "layout_" + path.rsplit("-", 1)[1],
+            path,
+            block_rows=1_000,
+        ),
+    )
+
+
 def staged_rates(spark: SparkSession, folder: str) -> DataFrame:
     return staged(spark, folder, "rates", lambda: rates(spark, folder))
 
