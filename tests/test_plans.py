@@ -14,7 +14,10 @@ MODELS = {
     "model_scores_pooled", "model_scores_per_ticker", "model_strategy_fact", "class_moments",
     "model_score_rows",
 }
-STREAMS = {"stream_ingest_bars", "stream_hourly_bars", "stream_latest_signal", "stream_master_features"}
+STREAMS = {
+    "stream_ingest_bars", "stream_hourly_bars", "stream_latest_signal", "stream_master_features",
+    "stream_compacted_bars", "stream_late_account", "stream_bars_with_late",
+}
 # parts of master_features, label_next and strategy_fact
 PARTS = {
     "moving_avgs", "rolling_vol", "volume_z", "true_range", "atr_norm", "rsi_norm", "dir_movement",

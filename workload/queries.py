@@ -644,6 +644,51 @@ def stream_hourly_bars(spark, folder):
     return bars.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
+def _event_files(spark, folder, files: int) -> DataFrame:
+    """The events as a stream of files of mixed times, one file per batch, in order."""
+    events = tables.table(spark, folder, "events")
+    path, mark = new_path(spark, "events"), F.col("event_id") % files
+    for i in range(files):
+        events.where(mark == i).coalesce(1).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    return tables.event_ticks(stream.withColumn("ts", F.col("ts").cast("timestamp")))
+
+
+@query
+def stream_compacted_bars(spark, folder):
+    """Bars of ten batches, their parts merged in levels; must equal the batch bars."""
+    out, checkpoint = new_path(spark, "compacted"), new_path(spark, "compacted-state")
+    ticks = _event_files(spark, folder, 10)
+    streaming.run_available(ticks, streaming.compacting_parts(out), checkpoint, mode="append")
+    bars = streaming.compacted_bars(spark, out)
+    return bars.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+@query
+def stream_late_account(spark, folder):
+    """Per batch the trades given, kept and put aside, a day behind the watermark or more."""
+    out, aside = new_path(spark, "kept-bars"), new_path(spark, "late-trades")
+    split = streaming.late_aside(aside, "1 day", streaming.compacting_parts(out))
+    streaming.run_available(
+        _event_files(spark, folder, 5), split, new_path(spark, "late-state"), mode="append"
+    )
+    return streaming.account(spark, aside)
+
+
+@query
+def stream_bars_with_late(spark, folder):
+    """The kept bars with the late trades merged in; must equal the batch bars."""
+    out, aside = new_path(spark, "kept-bars"), new_path(spark, "late-trades")
+    write = streaming.compacting_parts(out)
+    split = streaming.late_aside(aside, "1 day", write)
+    streaming.run_available(
+        _event_files(spark, folder, 5), split, new_path(spark, "late-state"), mode="append"
+    )
+    write(streaming.late_rows(spark, aside), 5)  # as one more batch
+    bars = streaming.compacted_bars(spark, out)
+    return bars.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
 @query
 def stream_latest_signal(spark, folder):
     """The landed fact as a file stream, two files per batch; must equal the batch signals."""
