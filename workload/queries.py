@@ -621,9 +621,9 @@ def model_strategy_fact(spark, folder):
 
 @query
 def stream_ingest_bars(spark, folder):
-    """The landed bar files as a stream, appended to another table."""
-    bars = tables.staged_bars(spark, folder)
-    (path,) = {f.rsplit("/", 1)[0] for f in bars.inputFiles()}
+    """Bar files as a stream, appended to another table."""
+    bars, path = tables.staged_bars(spark, folder), new_path(spark, "bar-files")
+    bars.write.parquet(path)
     stream = spark.readStream.schema(bars.schema).option("maxFilesPerTrigger", 4).parquet(path)
     out, checkpoint = new_path(spark, "ingest"), new_path(spark, "ingest-state")
     streaming.ingest_bars(stream, out, checkpoint)
@@ -691,9 +691,9 @@ def stream_bars_with_late(spark, folder):
 
 @query
 def stream_latest_signal(spark, folder):
-    """The landed fact as a file stream, two files per batch; must equal the batch signals."""
-    fact = tables.staged_fact(spark, folder)
-    (path,) = {f.rsplit("/", 1)[0] for f in fact.inputFiles()}
+    """The fact as a file stream, two files per batch; must equal the batch signals."""
+    fact, path = tables.staged_fact(spark, folder), new_path(spark, "fact-files")
+    fact.write.parquet(path)
     stream = spark.readStream.schema(fact.schema).option("maxFilesPerTrigger", 2).parquet(path)
     out, checkpoint = new_path(spark, "stream-signals"), new_path(spark, "stream-signals-state")
     streaming.run_available(stream, streaming.keep_latest_signals(out), checkpoint, mode="append")
