@@ -5,8 +5,10 @@ is a tag with its first class, digits generalised. A page's containers are score
 their text, links and prose; from the best one the vote climbs to the elements around it
 while they add text of the article, and Spark counts the votes per host. Pages are then extracted again: from the winning path of their host if they
 have it, else from their own best container. Menus, headers, footers, sidebars, notices,
-adverts, forms and reader comments are left out inside the container as well; a form or a
-marked element that holds most of a page's prose is none of these and stays.
+adverts, forms and reader comments are left out inside the container as well. A name alone
+does not decide: a section of the article whose class only begins with such a word, and a
+header with the article's title, stay; a form or a marked element around the whole article
+stays if it holds a heading and paragraphs.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from barline.llm.common import lookup
 from barline.plans import land
 
 # Paths kept per host; a host with more layouts leaves the rest to each page's own vote.
@@ -28,6 +31,8 @@ PATHS = 3
 CONSENSUS = 0.1
 # Steps of a path at most; what is nested deeper has the path of the element around it.
 DEEPEST = 64
+# Parts of a host where its pages or paths meet a row of their host.
+SPREAD = 32
 
 # Tags whose content is never text of the page.
 SILENT = frozenset("script style noscript template svg iframe object canvas head title".split())
@@ -37,10 +42,8 @@ IN_HEAD = frozenset("base link meta noscript script style template title".split(
 OUTSIDE = frozenset("nav footer aside form button select option menu dialog textarea".split())
 # Controls are left out whatever they hold.
 CONTROLS = frozenset("button select option textarea".split())
-# Characters from which an element with most of the page's prose overrides its mark.
+# Characters in paragraphs that are an article without a heading.
 LEAST = 200
-# Share of them that the rest of the page must stay under for comments, menus and the like.
-REST = 0.05
 # Words that mark such parts: a token of a class, id or role that is one or starts with one ...
 _WORDS = (
     r"ads?|advert(?:s|is\w*)?|banners?|promo(?:s|tions?|ted)?|sponsor\w*|nav(?:bar|i|igation|s)?|"
@@ -61,6 +64,23 @@ MARKS = re.compile(
     rf"|\S*[-_:](?:{_PARTS})(?=\s|$))"
 )
 COMMENTS = re.compile(r"(?:^|\s)(?:\S*[-_])?(?:comment|disqus)")
+# Names after a mark word that make it a part of the page ("share-buttons"), not a topic
+# ("share-price").
+_NAMED = (
+    r"top|bottom|left|right|main|inner|outer|wrap(?:per)?|container|box|bar|area|slot|unit|block|section|"
+    r"list|links?|buttons?|icons?|items?|posts?|stories|articles?|forms?|signup|notice|banner|overlay|"
+    r"dialog|message|policy|law|consent|panel|menu|nav|media|[0-9]+"
+)
+# Parts that are never the article, whatever they hold.
+_NEVER = re.compile(
+    r"(?:\S*[-_:](?:nav(?:bar|igation)?|menu|footer|breadcrumbs?|pagination)|(?:nav(?:bar|igation)?|menu|footer|"
+    r"cookies?|consent|notice|newsletter|subscribe|popup|modal|login|signup|breadcrumbs?|pagination)"
+    rf"(?:[-_](?:{_NAMED}))*)"
+)
+_STRONG = re.compile(
+    rf"(?:ads?|advert\w*|sponsor\w*|nav(?:bar|i|igation|s)?|footer|sidebar|side-bar|breadcrumb\w*|"
+    rf"pagination)(?![a-z]).*|\S*[-_:](?:{_PARTS})|[^-_:]+(?:[-_](?:{_NAMED}))+"
+)
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 BLOCKS = frozenset(
     "address article aside blockquote body br dd details div dl dt fieldset figcaption figure "
@@ -76,11 +96,12 @@ CONTAINERS = frozenset("article main section div body td".split())
 _ENDS_P = BLOCKS - {"br", "body", "html"}
 
 _TAG = re.compile(
-    r"<!--.*?(?:-->|$)|<![^>]*>|<\?[^>]*>"
-    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)>",
+    r"<!--.*?(?:-->|$)|<![^>]*+>?|<\?[^>]*+>?"
+    # No "<" outside quotes, so that tags that never end take linear time.
+    r"|<(/?)([a-zA-Z][^\s/<>]*+)((?:[^<>\"']|\"[^\"]*+\"|'[^']*+')*+)>",
     re.S,
 )
-_ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
+_ATTRIBUTE = re.compile(r"""\b(class|id|role|type)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
 _HOST = re.compile(r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)")
 
 # Share of links from which added text is a menu or a list of teasers.
@@ -88,8 +109,13 @@ LINKED = 0.4
 # Characters from which a paragraph beside the best container is prose by itself.
 PROSE = 80
 _HEADINGS = frozenset("h1 h2 h3".split())
+# How many times a host's path the page's own article must score to be taken instead.
+AGAINST = 2.0
+# Elements that are left out unless the article around them has them as its own.
+OWN = ("weak", "named", "header")
 
-Block = tuple[str, str, bool, int]
+# Path, text, left out (0: no; 1: yes; from 2 on: an element of OWN), characters in links.
+Block = tuple[str, str, int, int]
 
 
 def step(tag: str, classes: str) -> str:
@@ -98,11 +124,31 @@ def step(tag: str, classes: str) -> str:
     return f"{tag}.{re.sub('[0-9]+', 'N', first[0].lower())}" if first else tag
 
 
+def kind_of(marks: str) -> str:
+    """What a class, id and role say: apart (never the article), marked, named (a mark word
+    alone), weak (a mark word before another word), or nothing."""
+    said = set()
+    for token in marks.split() if MARKS.search(marks) else ():
+        if not MARKS.search(token):
+            continue
+        if COMMENTS.search(token) or _NEVER.fullmatch(token):
+            return "apart"
+        strong = _STRONG.fullmatch(token)
+        said.add("marked" if strong else "weak" if re.search("[-_:]", token) else "named")
+    return next((kind for kind in ("marked", "named", "weak") if kind in said), "")
+
+
+def tag_of(path: str) -> str:
+    return path.rpartition("/")[2].partition(".")[0]
+
+
 def blocks(html: str) -> list[Block]:
     """The page's text blocks in order: path, text, left out or not, characters in links."""
     out: list[tuple[str, str, int, int]] = []
     # Elements that may be left out: number of the one around it, and its kind.
     flags: list[tuple[int, str]] = []
+    # Of these, the ones with a control or a menu.
+    controls: set[int] = set()
     # Open elements: tag, path, innermost of flags (-1: none), and whether it or one around
     # it is a link, an article.
     open_: list[tuple[str, str, int, bool, bool]] = []
@@ -170,9 +216,12 @@ def blocks(html: str) -> list[Block]:
                         break
                     if open_[i][0] in CONTAINERS or open_[i][0] in ("ul", "ol", "table", "dl"):
                         break
+        said = {m[0].lower(): m[1] or m[2] or m[3] for m in _ATTRIBUTE.findall(found[3])}
+        if open_ and open_[-1][2] >= 0:
+            if tag in CONTROLS or tag == "nav" or tag == "input" and said.get("type") != "hidden":
+                controls.add(open_[-1][2])
         if tag in VOID or found[3].endswith("/"):
             continue
-        said = {m[0].lower(): m[1] or m[2] or m[3] for m in _ATTRIBUTE.findall(found[3])}
         classes = entities.unescape(said.get("class", ""))
         marks = " ".join((classes, said.get("id", ""), said.get("role", "")))
         marks = _CAMEL.sub("-", marks).lower()
@@ -180,12 +229,14 @@ def blocks(html: str) -> list[Block]:
         kind = ""
         if tag in CONTROLS or tag in SILENT:
             kind = "never"
-        elif tag in OUTSIDE and tag != "form" or tag == "header" and not inside:
+        elif tag in OUTSIDE and tag != "form":
             kind = "apart"
-        elif tag not in ("body", "html", "article", "main") and MARKS.search(marks):
-            kind = "apart" if COMMENTS.search(marks) else "marked"
-        elif tag == "form":
-            kind = "form"
+        elif tag == "header" and not inside:
+            kind = "header"
+        elif tag not in ("body", "html", "article", "main"):
+            kind = kind_of(marks) or ("form" if tag == "form" else "")
+        if kind in OWN and flag >= 0 and flags[flag][1] in OWN:
+            kind = ""  # part of the element around it
         if kind:
             if flag >= 0 and flags[flag][1] in ("never", "apart") and kind != "never":
                 kind = flags[flag][1]
@@ -199,38 +250,76 @@ def blocks(html: str) -> list[Block]:
         )
         opened[tag] += 1
     flush()
-    left_out = dropped(out, flags)
-    return [(path, text, flag >= 0 and left_out[flag], linked) for path, text, flag, linked in out]
-
-
-def dropped(found: list[tuple[str, str, int, int]], flags: list[tuple[int, str]]) -> list[bool]:
-    """Which of ``flags`` are left out.
-
-    Prose is text outside links. An element counts what it holds without what stays left
-    out inside. A marked element stays with at least ``LEAST`` characters and half of the
-    prose, a form also with all of it; comments, menus, asides and the like, with which a
-    page may well say more than with its article, only if hardly anything is around.
+    left_out = dropped(out, flags, controls)
+    return [
+        (path, text, left_out[flag] if flag >= 0 else 0, linked) for path, text, flag, linked in out
+    ]
+
+
+class _Held:
+    """Text of an element: all, in links, in paragraphs, and headings."""
+
+    def __init__(self):
+        self.size = self.linked = self.prose = self.headings = self.titles = 0
+
+    def add(self, path: str, text: str, linked: int) -> None:
+        tag, plain = tag_of(path), linked <= LINKED * len(text)
+        self.size += len(text)
+        self.linked += linked
+        self.prose += len(text) - linked if tag == "p" and plain else 0
+        self.headings += tag in _HEADINGS and plain
+        self.titles += tag == "h1" and plain
+
+    def take(self, other: _Held) -> None:
+        for name, value in vars(other).items():
+            setattr(self, name, getattr(self, name) + value)
+
+    def article(self) -> bool:
+        """A heading and paragraphs, or many paragraphs, and few links."""
+        enough = self.prose >= PROSE if self.headings else self.prose >= LEAST
+        return enough and self.linked <= LINKED * self.size
+
+
+def dropped(
+    found: list[tuple[str, str, int, int]], flags: list[tuple[int, str]], controls: set[int]
+) -> list[int]:
+    """Of each of ``flags``: 0 if it stays, 1 if it is left out, from 2 on if only an
+    article around it can keep it.
+
+    Menus, footers, notices and comments never stay. A marked element stays around an
+    article, a heading and paragraphs, that the page has nowhere else: outside is no
+    paragraph or heading, or inside is the only title (``h1``). A form stays around an article
+    with more than half of the prose, or around all there is if it has no controls.
     """
-    holds = [0] * len(flags)
+    held = [_Held() for _ in flags]
+    rest = _Held()
     total = 0
-    for _, text, flag, linked in found:
-        prose = max(0, len(text) - linked)
-        if flag < 0 or flags[flag][1] in ("form", "marked"):
-            total += prose
-        if flag >= 0:
-            holds[flag] += prose
-    out = [True] * len(flags)
+    for path, text, flag, linked in found:
+        (held[flag] if flag >= 0 else rest).add(path, text, linked)
+        if flag < 0 or flags[flag][1] not in ("never", "apart"):
+            total += len(text) - linked
+    busy = [k in controls for k in range(len(flags))]
+    out = [1] * len(flags)
     for k in range(len(flags) - 1, -1, -1):  # what is inside comes after what is around
         around, kind = flags[k]
-        if kind == "apart":
-            out[k] = not (holds[k] >= LEAST and total < REST * holds[k])
-        elif kind != "never":
-            all_of_it = kind == "form" and 0 < total == holds[k]
-            out[k] = not (all_of_it or holds[k] >= LEAST and 2 * holds[k] > total)
-        if not out[k] and around >= 0:
-            holds[around] += holds[k]
+        here = held[k]
+        if kind == "form":
+            prose = here.size - here.linked
+            alone = not busy[k] and 0 < total == prose
+            out[k] = int(not (alone or here.article() and 2 * prose > total))
+        elif kind in ("marked", "weak", "named"):
+            only = not (rest.prose or rest.headings) or here.titles and not rest.titles
+            if here.article() and only:
+                out[k] = 0
+        if kind in OWN and out[k] and not busy[k]:
+            out[k] = 2 + 3 * k + OWN.index(kind)
+        if around >= 0:
+            busy[around] = busy[around] or busy[k] and kind != "never"
+            if not out[k]:
+                held[around].take(here)
     for k, (around, _) in enumerate(flags):
-        out[k] = out[k] or around >= 0 and out[around]
+        if around >= 0 and out[around]:
+            out[k] = 1
     return out
 
 
@@ -256,17 +345,29 @@ def containers(found: list[Block]) -> dict[str, float]:
     return scores
 
 
+def _inside(path: str, top: str) -> bool:
+    return not top or path == top or path.startswith(top + "/")
+
+
+def _best(scores: dict[str, float]) -> str:
+    return max(scores, key=lambda p: (scores[p], p.count("/"), p)) if scores else ""
+
+
 def best_container(found: list[Block]) -> str:
-    """The best container, or the highest element around it that adds to its article.
+    """The best container, or the highest element around it that adds to its article."""
+    return climbed(found, _best(containers(found)))[0]
+
+
+def climbed(found: list[Block], chosen: str, frames: bool = True) -> tuple[str, str]:
+    """The highest element around ``chosen`` that adds to its article, and the element
+    above where that ends ("" if nothing ends it).
 
     An element adds if the unflagged text it has beside the one below has few links. If
     it also has parts that are left out, or is the body, it is the page's frame: then
-    the text must hold a heading or a paragraph of prose.
+    the text must hold a heading or a paragraph of prose; without ``frames`` it ends there.
     """
-    scores = containers(found)
-    if not scores:
-        return ""
-    chosen = max(scores, key=lambda p: (scores[p], p.count("/"), p))
+    if not chosen:
+        return "", ""
     # Per element around the chosen one: characters added, of these in links, whether some
     # of them are a heading or prose, and whether it has parts that are left out.
     depth = chosen.count("/")
@@ -287,30 +388,98 @@ def best_container(found: list[Block]) -> str:
             continue
         at[0] += len(text)
         at[1] += linked
-        tag = path.rpartition("/")[2].partition(".")[0]
+        tag = tag_of(path)
         at[2] = at[2] or linked <= LINKED * len(text) and (tag in _HEADINGS or len(text) >= PROSE)
-    top, frame = depth, False
+    top, frame, ended = depth, False, ""
     for k in range(depth - 1, -1, -1):
         size, linked, article, marked = added[k]
         frame = frame or marked or steps[k].partition(".")[0] in ("body", "html")
         if not size:
             continue
-        if linked > LINKED * size or frame and not article:
+        if linked > LINKED * size or frame and not (article and frames):
+            ended = "/".join(steps[: k + 1])
             break
         top = k
-    return "/".join(steps[: top + 1])
+    return "/".join(steps[: top + 1]), ended
 
 
-def main_text(found: list[Block], paths: list[str]) -> str:
-    """Text inside the first of ``paths`` that the page has, else its best container."""
+def chosen_container(found: list[Block], paths: list[str]) -> tuple[str, str]:
+    """The element to extract, by the ``paths`` of the host that the page has, and the one
+    above where its article ends.
+
+    The first path around the page's own best container is taken, else the one that scores
+    best; from there the page climbs as in the vote, but not into its frame. Its own
+    container is taken if it holds an article of ``AGAINST`` times the score, and the
+    host's path not the only title.
+    """
+    scores = containers(found)
+    own = _best(scores)
     here = {path for path, _, outside, _ in found if not outside}
-    inside = lambda path, top: path == top or path.startswith(top + "/")
-    chosen = next((p for p in paths if any(inside(path, p) for path in here)), None)
-    if chosen is None:
-        chosen = best_container(found)
-    return " ".join(
-        text for path, text, outside, _ in found if not outside and (not chosen or inside(path, chosen))
-    )
+    present = [p for p in paths if any(_inside(path, p) for path in here)]
+    if not present:
+        return climbed(found, own)
+    # The whole page tells nothing apart, unless most pages of the host are read that way.
+    present = present[:1] + [p for p in present[1:] if tag_of(p) not in ("body", "html")]
+    around = [p for p in present if _inside(own, p)]
+    if around:
+        return climbed(found, around[0], frames=False)
+    worth = {p: max((v for c, v in scores.items() if _inside(c, p)), default=0.0) for p in present}
+    theirs = max(present, key=lambda p: worth[p])
+    mine, other = _Held(), _Held()
+    for path, text, outside, linked in found:
+        if not outside and _inside(path, own):
+            mine.add(path, text, linked)
+        if not outside and _inside(path, theirs):
+            other.add(path, text, linked)
+    if mine.article() and scores[own] >= AGAINST * worth[theirs] and (mine.titles or not other.titles):
+        return climbed(found, own)
+    return climbed(found, theirs, frames=False)
+
+
+def main_text(found: list[Block], paths: list[str]) -> str:
+    """Text inside the best of ``paths`` that the page has, else its best container.
+
+    A title and lead right above it stay where a list of links beside them ends the
+    article. A part of ``OWN`` stays if it has no controls and few links: a header if it has
+    the only title, a section with a mark word in its name between text of the article or with a heading
+    and a paragraph of its own, and if the name is nothing else, only with a heading or prose.
+    """
+    top, above = chosen_container(found, paths)
+    whole = [k for k, b in enumerate(found) if not b[2] and _inside(b[0], top)]
+    if not whole:
+        return ""
+    inside = set(whole)
+    titled = any(tag_of(found[k][0]) == "h1" for k in whole)
+    if tag_of(above) not in ("", "body", "html"):
+        led = False
+        for k, (path, text, outside, linked) in enumerate(found[: whole[0]]):
+            if outside or path.rpartition("/")[0] != above or linked > LINKED * len(text):
+                continue
+            title = tag_of(path) == "h1" and not titled
+            if title or tag_of(path) == "p" and (led or len(text) >= PROSE):
+                inside.add(k)
+                led = led or title
+    parts: dict[int, list[int]] = {}
+    for k, (path, _, outside, _) in enumerate(found):
+        if outside > 1 and top and path != top and _inside(path, top):
+            parts.setdefault(outside, []).append(k)
+    for part, members in parts.items():
+        held = _Held()
+        for k in members:
+            held.add(found[k][0], found[k][1], found[k][3])
+        kind = OWN[(part - 2) % 3]
+        if held.linked > LINKED * held.size:
+            continue
+        if kind == "header":
+            stays = held.titles and not titled and tag_of(top) not in ("body", "html")
+        else:
+            between = whole[0] < members[0] and members[-1] < whole[-1]
+            stays = between or held.headings and held.prose
+            if kind == "named":
+                stays = stays and (held.headings or held.prose >= PROSE)
+        if stays:
+            inside.update(members)
+    return " ".join(found[k][1] for k in sorted(inside))
 
 
 def host_of(url: Column) -> Column:
@@ -334,15 +503,15 @@ def host_paths(rows: DataFrame, consensus: float = CONSENSUS, paths: int = PATHS
         .groupBy("_host", "_path")
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    host = Window.partitionBy("_host")
-    ranked = votes.withColumns(
-        {
-            "_all": F.sum("_n").over(host),
-            "_rank": F.row_number().over(host.orderBy(F.desc("_n"), "_path")),
-        }
-    )
+    # A host with a third of all pages may have as many paths: its sum meets them spread
+    # over runs, and only paths with enough votes, 1 / consensus a host at most, are ranked.
+    votes = land(votes.withColumn("_run", F.pmod(F.xxhash64("_path"), F.lit(SPREAD))), "votes")
+    totals = votes.groupBy("_host").agg(F.sum("_n").alias("_all"))
+    enough = lookup(votes, totals, ["_host"]).where(F.col("_n") >= F.col("_all") * consensus)
+    by_votes = Window.partitionBy("_host").orderBy(F.desc("_n"), "_path")
     return (
-        ranked.where((F.col("_rank") <= paths) & (F.col("_n") >= F.col("_all") * consensus))
+        enough.withColumn("_rank", F.row_number().over(by_votes))
+        .where(F.col("_rank") <= paths)
         .groupBy("_host")
         .agg(F.array_sort(F.collect_list(F.struct("_rank", "_path"))).alias("_won"))
         .select("_host", F.col("_won._path").alias("_paths"))
@@ -374,10 +543,9 @@ def main_texts(pages: DataFrame, consensus: float = CONSENSUS, paths: int = PATH
     )
     won = land(host_paths(rows, consensus, paths), "host-paths")
     # A host may hold a third of all pages: they meet their paths spread by page.
-    spread = 32
-    salted = won.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
+    salted = won.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
     return (
-        rows.withColumn("_salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(spread)).cast("int"))
+        rows.withColumn("_salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SPREAD)).cast("int"))
         .join(salted, ["_host", "_salt"], "left")
         .select("page_id", "url", "_html", "_paths")
         .mapInPandas(

@@ -549,6 +549,92 @@ def test_an_article_in_several_parts_is_taken_whole(spark, whole):
     assert {r.text for r in html.main_texts(pages).collect()} == {inner}
 
 
+SHORT = "<p>Just a few words.</p>"
+COOKIE = "<div class='cookie-notice'><h3>Cookies</h3><p>" + "We use cookies to make this site better for you. " * 5 + "</p></div>"
+LOGIN = "<form class='f'><label>Name</label><input type='text'><input type='password'><p>Please log in to read all.</p></form>"
+TOPICS = (
+    "social-science", "share-price", "menu-ingredients", "login-guide", "promo", "related-work", "popup-book",
+    "newsletter-body", "consent-decree", "widget-text",
+)
+LINKS = "<ul>" + "<li><a href='/x'>no more of it, no</a></li>" * 6 + "</ul>"
+SECTION = f"<h2>Part</h2>{LEAD}"
+
+# Pages and what is to be had of them: the markup of the text.
+LAYOUTS = {
+    "only a menu": (f"<nav>{LINKS}</nav><div class='menu'>no no</div>", ""),
+    "only a footer": (f"<footer><h2>no</h2>{LEAD * 3}</footer>", ""),
+    "only a footer by class": (f"<div class='site-footer'><h2>no</h2>{LEAD * 3}</div>", ""),
+    "only a notice": (COOKIE, ""),
+    "only a login": (LOGIN, ""),
+    "short beside a notice": (f"<div class='post'>{SHORT}</div>{COOKIE}", SHORT),
+    "short beside a login": (f"<div class='post'>{SHORT}</div>{LOGIN}", SHORT),
+    "header in a post": (f"<div class='post'><header><h1>Top</h1></header>{LEAD * 4}</div><footer>no</footer>", "<h1>Top</h1>" + LEAD * 4),
+    "header of the site": (f"<header><h1>no</h1>{NAV}</header><div class='post'>{ARTICLE}</div>", ARTICLE),
+    "header around a menu": (f"<div class='wrap'><header><h1>no</h1>{NAV}</header>{ARTICLE}</div>", ARTICLE),
+    **{f"topic {c}": (f"<div class='post'>{ARTICLE}<section class='{c}'>{SECTION}</section>{LEAD}</div>", ARTICLE + SECTION + LEAD) for c in TOPICS},
+    "parts by name": (f"<div class='post'>{ARTICLE}<div class='share-buttons'>no</div><div class='related-posts'>{LINKS}</div>{LEAD}</div>", ARTICLE + LEAD),
+    "a word alone": (f"<div class='post'>{ARTICLE}<div class='promo'>no, no</div>{LEAD}</div>", ARTICLE + LEAD),
+    "a topic with controls": (f"<div class='post'>{ARTICLE}<div class='newsletter-x'><p>no</p><input></div>{LEAD}</div>", ARTICLE + LEAD),
+    "lead beside links": (f"<div class='m'><h1>Top</h1>{LEAD}{LINKS}<div class='body'>{LEAD * 3}</div></div>{NAV}", "<h1>Top</h1>" + LEAD * 4),
+    "a page-wide class": (f"<div class='sidebar-layout'>{ARTICLE}</div>", ARTICLE),
+}
+
+
+@pytest.mark.parametrize("name", LAYOUTS)
+def test_layouts(name):
+    body, inner = LAYOUTS[name]
+    page = f"<html><head><title>no</title></head><body>{body}</body></html>"
+    assert html.main_text(html.blocks(page), []) == " ".join(re.sub("<[^>]*>", " ", inner).split())
+
+
+def test_layouts_with_a_host_vote(spark):
+    rows = [
+        (k, f"http://h{k // 3}.example/", f"<html><head><title>no</title></head><body>{body}</body></html>")
+        for k, (body, _) in ((k, list(LAYOUTS.values())[k // 3]) for k in range(3 * len(LAYOUTS)))
+    ]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    inner = [" ".join(re.sub("<[^>]*>", " ", x).split()) for _, x in LAYOUTS.values()]
+    found = html.main_texts(pages).collect()
+    assert {r.page_id: r.text for r in found} == {k: inner[k // 3] for k, *_ in rows}
+
+
+def test_two_layouts_on_a_host(spark):
+    """A page whose article is in another element than the host's path keeps its article;
+    a host path below the article does not cut its title."""
+    box = f"<div class='box'>{ARTICLE}</div>"
+    story = f"<div class='box'><p>no teaser, no.</p></div><div class='story'>{ARTICLE}</div>"
+    inner = f"<div class='post'><div class='entry'>{ARTICLE}</div></div>"
+    outer = f"<div class='post'><h1>Top</h1>{LEAD}<div class='entry'>{LEAD * 5}</div></div>"
+    rows = [(k, "http://a/", box) for k in range(9)] + [(9, "http://a/", story)]
+    rows += [(k, "http://b/", inner) for k in range(10, 19)] + [(19, "http://b/", outer)]
+    rows = [(k, u, f"<html><body>{NAV}{b}<footer>no</footer></body></html>") for k, u, b in rows]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    found = {r.page_id: r.text for r in html.main_texts(pages).collect()}
+    text = lambda x: " ".join(re.sub("<[^>]*>", " ", x).split())
+    assert found == {k: text("<h1>Top</h1>" + LEAD * 6 if k == 19 else ARTICLE) for k in range(20)}
+
+
+def test_host_paths_against_a_slow_count(spark):
+    """Many paths on one host; the same winners as a count of the votes."""
+    rows = [(k, "h", f"<div class='x{chr(97 + k % 26)}{k % 3}y'><p>{'words, ' * 9}</p></div>") for k in range(200)]
+    rows += [(k, "h", f"<div class='{'one' if k % 3 else 'two'}'>{ARTICLE}</div>") for k in range(300)]
+    votes = Counter(html.best_container(html.blocks(h)) for *_, h in rows)
+    slow = sorted((-n, p) for p, n in votes.items() if n >= 0.1 * sum(votes.values()))[: html.PATHS]
+    table = spark.createDataFrame([(h, page) for _, h, page in rows], "_host string, _html string")
+    assert [r._paths for r in html.host_paths(table).collect()] == [[p for _, p in slow]]
+
+
+@pytest.mark.parametrize(
+    "piece", ["<a ", '<a "', "<a '\"", "<a", "<!", "<?", "</a ", '<a x="<b y=\'', "<!--", "<a b=c "]
+)
+def test_tags_that_never_end_take_linear_time(piece):
+    import time
+
+    start = time.process_time()
+    html.blocks(piece * (1_000_000 // len(piece)))
+    assert time.process_time() - start < 2
+
+
 def test_many_comments_are_no_article():
     page = f"<html><body><div class='post'>{ARTICLE}</div><div id='comments'>{'<p>no, no. </p>' * 200}</div>"
     assert "no, no" not in html.main_text(html.blocks(page), [])
