@@ -3,11 +3,12 @@
 Base spans follow fixed patterns and checks (Luhn, octets, digit counts) and always
 stay. Wider patterns of high recall propose overlapping candidates on top. Gradient
 boosted trees learn from candidates that hold a base span of their kind, and from ones
-that are no such data (wrong counts of digits, dates, lists, spans of another kind); the
+that are no such data (wrong counts of digits, dates, lists, spans of another kind, numbers
+that neither a check digit nor their form nor a word before vouches for); the
 others, in formats the base patterns do not know, are what the trees decide about and
 train nothing. So features leave out the marks by which base patterns tell formats. Per
 kind, the threshold is the lowest probability from which at least ``PRECISION`` of the
-candidates kept back hold a base span; a rule decides where there is none. Candidates
+candidates kept back hold a base span, halfway to the next one below; a rule decides where there is none. Candidates
 above it that touch no base span, or hold a smaller one of their kind, are added, the
 most likely one of each overlapping cluster. Everything is column
 expressions, windows over the matches of one document, and Spark's own boosted trees.
@@ -190,6 +191,24 @@ def larger(rows: DataFrame) -> Column:
     )
 
 
+# Words that vouch for the number after them.
+CARD_WORDS = r"(?i)(?:card|visa|mastercard|amex|pay|credit|debit)"
+PHONE_WORDS = r"(?i)(?:tel|phone|fax|call|mobile|contact|dial)"
+IP_WORDS = r"(?i)(?:\bip|addr|host|server)"
+
+
+def vouched() -> Column:
+    """Whether more than its digits speaks for a number: a check digit, the form of an
+    international or bracketed number, or a word before."""
+    match, kind, before = F.col("match"), F.col("kind"), F.col("before")
+    return (
+        F.when(kind == "card", before.rlike(CARD_WORDS) | luhn(digits(match)))
+        .when(kind == "phone", before.rlike(PHONE_WORDS) | match.rlike(r"^(?:\+|00|\()"))
+        .when(kind == "ip", ~match.contains(",") | before.rlike(IP_WORDS))
+        .otherwise(True)
+    )
+
+
 def plain(match: Column) -> Column:
     """A match without the marks of its format: words and numbers with blanks between."""
     written = F.regexp_replace(match, r"\x20?[\[(](?:at|dot)[\])]\x20?", " ")
@@ -207,9 +226,9 @@ def fails() -> Column:
     )
     octets = match.rlike(r"^[0-9]{1,3}(?:\.[0-9]{1,3}){3}$") & passes("ip", match)
     return (
-        F.when(kind == "ip", listed | ~passes("ip", dotted))
-        .when(kind == "card", ~count.between(16, 19))
-        .when(kind == "phone", ~count.between(8, 15) | date | octets)
+        F.when(kind == "ip", listed | ~passes("ip", dotted) | ~vouched())
+        .when(kind == "card", F.when(count.between(16, 19), ~vouched()).otherwise(True))
+        .when(kind == "phone", ~count.between(8, 15) | date | octets | ~vouched())
         .otherwise(False)
     )
 
@@ -217,11 +236,9 @@ def fails() -> Column:
 def by_rule() -> Column:
     """The decision where no trees or no threshold of a kind are to be had."""
     number, before, kind = digits(F.col("match")), F.col("before"), F.col("kind")
-    card = before.rlike("(?i)(card|visa|pay)")
-    phone = before.rlike("(?i)(tel|phone|fax|call|mobile|contact)")
     return (
-        F.when(kind == "card", number.rlike("^[2-6]") & (luhn(number) | card))
-        .when(kind == "phone", phone)
+        F.when(kind == "card", number.rlike("^[2-6]") & vouched())
+        .when(kind == "phone", before.rlike(PHONE_WORDS))
         .otherwise(True)
     )
 
@@ -247,6 +264,7 @@ def features() -> dict[str, Column]:
         "before_word": flag(after.rlike(r"^[\p{L}0-9]")),
         "before_mark": flag(after.rlike("^[\"'=/]")),
         "named": flag(before.rlike("(?i)(mail|tel|phone|fax|call|card|visa|iban|ip|addr|contact)")),
+        "vouched": flag(vouched()),
         "secret": flag(before.rlike("(?i)(token|key|secret|hash|sha|id)\\W*$")),
     }
 
@@ -301,10 +319,14 @@ def added(all_spans: DataFrame, precision: float = PRECISION) -> DataFrame:
     thresholds = {}
     for kind in KINDS:
         hits = rows = 0.0
-        for row in sorted((r for r in bins if r["kind"] == kind), key=lambda r: -r["bin"]):
+        held = sorted((r for r in bins if r["kind"] == kind), key=lambda r: -r["bin"])
+        for k, row in enumerate(held):
             hits, rows = hits + row["hits"], rows + row["rows"]
             if hits / rows >= precision:
-                thresholds[kind] = row["bin"] / BINS
+                # Halfway to the next bin below that has candidates, or even odds.
+                low = row["bin"]
+                below = (low + held[k + 1]["bin"] + 1) / 2 if k + 1 < len(held) else min(low, BINS / 2)
+                thresholds[kind] = below / BINS
     return _chosen(scored, thresholds)
 
 
