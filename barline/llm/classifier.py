@@ -4,18 +4,20 @@ Statistics of the whole text are standardised with the mean and deviation over a
 documents. ``WIDTH`` random cosines approximate a Gaussian kernel on them; the ridge
 normal equations are summed per partition and then over partitions in Spark, so the
 driver solves one ``WIDTH`` x ``WIDTH`` system. The raw score becomes a probability by
-isotonic regression on counts in ``BINS`` score bins.
+isotonic regression on counts in ``BINS`` score bins, straight between the centres of its
+blocks.
 """
 
 from __future__ import annotations
 
 import math
 import operator
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +27,8 @@ from barline.plans import land
 WIDTH = 192
 RIDGE = 1e-3
 BINS = 1000
+# Partitions whose normal equations are summed in one group.
+LANE = 1000
 THRESHOLD = 0.3
 SEED = 20_240_601
 
@@ -120,6 +124,16 @@ def isotonic(hits: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.concatenate([np.full(int(n), hit / count) for hit, count, n in blocks])
 
 
+def centres(
+    knots: np.ndarray, levels: np.ndarray, rows: Sequence[int]
+) -> tuple[np.ndarray, np.ndarray]:
+    """One knot per isotonic block, its mean place: between blocks scores rise with the raw
+    score, so its order is kept there."""
+    starts = np.flatnonzero(np.diff(levels, prepend=-1.0))
+    weight = np.add.reduceat(np.asarray(rows, float), starts)
+    return np.add.reduceat(knots * np.asarray(rows, float), starts) / weight, levels[starts]
+
+
 def fold(doc_id: Column) -> Column:
     """crc32 of the id as text, modulo 5; a null id counts as empty text."""
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))), F.lit(5))
@@ -193,18 +207,23 @@ def fit(
             if len(batch):
                 x = empty.features(_matrix(batch["_stats"]))
                 total += x.T @ np.hstack([x, batch[["_y"]].to_numpy(float)])
-        yield pd.DataFrame({"_line": np.arange(width + 1), "_sums": list(total)})
+        part = TaskContext.get().partitionId()
+        yield pd.DataFrame({"_line": np.arange(width + 1), "_part": part, "_sums": list(total)})
 
     def summed(parts: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame(
-            {"_line": parts["_line"].iloc[:1], "_sums": [np.sum(np.stack(parts["_sums"]), axis=0)]}
-        )
+        parts = parts.sort_values("_part")  # sums of doubles depend on their order
+        sums = np.sum(np.stack(parts["_sums"]), axis=0)
+        return parts.iloc[:1].assign(_sums=[sums])
 
-    lines = "_line bigint, _sums array<double>"
+    lines = "_line bigint, _part bigint, _sums array<double>"
+    # Two levels: a group is a row per partition of LANE neighbours, then one per lane.
+    lane = F.floor(F.col("_part") / LANE)
     rows = train.where("_fold <> 4") if apart else train
     system = (
         rows.select("_stats", "_y")
         .mapInPandas(equations, lines)
+        .groupBy("_line", lane)
+        .applyInPandas(summed, lines)
         .groupBy("_line")
         .applyInPandas(summed, lines)
         .collect()  # width + 1 rows
@@ -231,7 +250,9 @@ def fit(
     levels = isotonic(
         np.array([row["hits"] for row in bins], float), np.array([row["rows"] for row in bins], float)
     )
-    return Model(mean, spread, directions, phases, weights, knots, levels)
+    return Model(
+        mean, spread, directions, phases, weights, *centres(knots, levels, [r["rows"] for r in bins])
+    )
 
 
 def quality_scores(
