@@ -38,6 +38,14 @@ def with_rows(df: DataFrame) -> DataFrame:
     )
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that the table does not have, whatever the case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

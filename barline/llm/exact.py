@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barline.llm.common import LOWEST, text_of, with_rows
+from barline.llm.common import LOWEST, fresh, text_of, with_rows
 from barline.plans import land
 
 FAN = 8
@@ -103,10 +103,11 @@ def exact_duplicates(
 
 def without_copies(docs: DataFrame, keep: str = "largest") -> DataFrame:
     """The documents that stay, with all their columns."""
-    rows = land(docs.withColumn("_row", F.monotonically_increasing_id()), "documents")
+    row = fresh(docs, "_row")
+    rows = land(docs.withColumn(row, F.monotonically_increasing_id()), "documents")
     digests = land(
         rows.select(
-            "_row",
+            F.col(row).alias("_row"),
             F.spark_partition_id().alias("_run"),
             F.col("doc_id").cast("bigint").alias("_id"),
             F.unhex(F.sha2(text_of(), 256)).alias("_sha"),
@@ -115,8 +116,8 @@ def without_copies(docs: DataFrame, keep: str = "largest") -> DataFrame:
         ),
         "digests",
     )
-    kept = merged_runs(digests, keep).where(F.col("_row") == F.col("_keep_row")).select("_row")
-    return rows.join(kept, "_row", "left_semi").drop("_row")
+    kept = merged_runs(digests, keep).where(F.col("_row") == F.col("_keep_row"))
+    return rows.join(kept.select(F.col("_row").alias(row)), row, "left_semi").drop(row)
 
 
 ORACLE = """

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barline.llm.common import WORD, lookup, prefix_sums, text_of
+from barline.llm.common import WORD, fresh, lookup, prefix_sums, text_of
 from barline.plans import land
 
 WEIGHTS = (5, 2, 1)
@@ -178,12 +178,15 @@ def mixed(
 
 def mix_documents(docs: DataFrame) -> DataFrame:
     """The documents the mix takes, each as often as it takes it, with all columns."""
-    rows = land(docs.withColumn("_row", F.monotonically_increasing_id()), "documents")
-    kept = queued(rows, extra=["_row"]).where("_copies > 0").select("_row", "_copies")
-    repeats = F.expr("sequence(1, _copies)")
-    return (
-        rows.join(kept, "_row").withColumn("_copy", F.explode(repeats)).select(*docs.columns)
-    )
+    row, times = fresh(docs, "_row"), fresh(docs, "_times")
+    rows = land(docs.withColumn(row, F.monotonically_increasing_id()), "documents")
+    sizes = rows.select(F.col(row).alias("_row"), "doc_id", "text", "source")
+    kept = queued(sizes, extra=["_row"]).where("_copies > 0")
+    kept = kept.select(F.col("_row").alias(row), F.col("_copies").alias(times))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    # array_repeat holds as many values as the mix takes the document, REPEATS at most.
+    copies = F.explode(F.array_repeat(F.lit(0), F.col(times))).alias(fresh(docs, "_copy"))
+    return rows.join(kept, row).select(*columns, copies).select(*columns)
 
 
 def mix_sql(documents: str = "documents") -> str:

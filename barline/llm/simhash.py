@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barline.llm.common import lookup, text_of, with_rows
+from barline.llm.common import fresh, lookup, text_of, with_rows
 from barline.plans import land
 
 BITS = 64
@@ -446,15 +446,16 @@ def near_duplicates(docs: DataFrame, distance: int = DISTANCE, block: int = BLOC
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The document with the smallest doc_id of every component, with all its columns."""
-    rows = land(docs.withColumn("_row", F.monotonically_increasing_id()), "documents")
+    row = fresh(docs, "_row")
+    rows = land(docs.withColumn(row, F.monotonically_increasing_id()), "documents")
     marks = land(
         rows.select(
-            "_row",
+            F.col(row).alias("_row"),
             F.spark_partition_id().alias("_run"),
             F.col("doc_id").cast("bigint").alias("_id"),
             _fingerprints(text_of()).alias("_fp"),
         ),
         "fingerprints",
     )
-    kept = grouped(marks).where(F.col("_row") == F.col("_first")).select("_row")
-    return rows.join(kept, "_row", "left_semi").drop("_row")
+    kept = grouped(marks).where(F.col("_row") == F.col("_first"))
+    return rows.join(kept.select(F.col("_row").alias(row)), row, "left_semi").drop(row)

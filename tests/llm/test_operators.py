@@ -239,6 +239,20 @@ def test_packing_windows_keep_the_proportions(spark):
             assert abs(served - share[s] * end) <= 3 * 14 + 2
 
 
+def test_columns_of_the_operators_own_names_stay(spark):
+    names = ["_row", "_ROW_", "_copy", "_copies", "_times", "_run", "_id", "_sha", "_fp", "_n"]
+    prose = " ".join(f"word{k} and the rest of it," for k in range(40))
+    rows = [(i, f"{prose} {i % 7}", "s", *[f"{n}{i}" for n in range(10)]) for i in range(40)]
+    schema = "doc_id bigint, text string, source string, " + ", ".join(f"{n} string" for n in names)
+    docs = spark.createDataFrame(rows, schema).repartition(3)
+    given = {r.doc_id: tuple(r) for r in docs.collect()}
+    for result in (exact.without_copies(docs), simhash.one_of_each(docs), mixing.mix_documents(docs)):
+        found = result.collect()
+        assert result.columns == docs.columns and found
+        assert all(tuple(r) == given[r.doc_id] for r in found)
+    assert exact.without_copies(docs).count() == 7
+
+
 # --- classifier ----------------------------------------------------------------------
 
 
@@ -265,6 +279,30 @@ def test_isotonic_is_monotone_and_keeps_the_mean():
     assert (levels * rows).sum() == pytest.approx(hits.sum())
 
 
+def test_summed_equations_equal_a_direct_solve(spark, documents, folder):
+    """Over 300 partitions and lanes of 7, the weights of one solve over all rows."""
+    stats = classifier.statistics_table(documents)
+    labels = table(spark, folder, "labels")
+    lane, classifier.LANE = classifier.LANE, 7
+    try:
+        model = classifier.fit(stats.repartition(300), labels)
+    finally:
+        classifier.LANE = lane
+    answers = labels.where("quality IS NOT NULL AND crc32(string(doc_id)) % 5 <> 0")
+    answers = answers.groupBy("doc_id").agg({"quality": "avg"}).withColumnRenamed("avg(quality)", "y")
+    rows = stats.join(answers, stats["_id"] == answers["doc_id"]).selectExpr(
+        "_stats", "y", "crc32(string(_id)) % 5 AS f"
+    ).collect()
+    late = Counter(r.y >= 0.5 for r in rows if r.f == 4)
+    rows = [r for r in rows if r.f != 4 or min(late[True], late[False]) < 50]
+    x = model.features(np.array([list(r._stats) for r in rows]))
+    left = x.T @ x + classifier.RIDGE * len(rows) / classifier.WIDTH * np.eye(x.shape[1])
+    assert np.allclose(np.linalg.solve(left, x.T @ np.array([r.y for r in rows])), model.weights, atol=1e-6)
+    scores = model.score(np.array([list(r._stats) for r in rows]))
+    order = np.argsort(model.raw(np.array([list(r._stats) for r in rows])))
+    assert (np.diff(scores[order]) >= 0).all() and 0 <= scores.min() and scores.max() <= 1
+
+
 def test_classifier_on_odd_texts_and_without_labels(odd, texts, labels):
     assert classifier.quality_scores(odd, labels).count() == len(texts)
     scores = classifier.quality_scores(odd, labels.where("false")).collect()
@@ -465,6 +503,44 @@ def test_wider_formats_are_added(spark, many):
         assert all(found[4 * i + 2].startswith("ip") and "phone" not in found[4 * i + 2] for i in range(150))
 
 
+def test_decoys_are_not_added(spark):
+    """Numbers that are no such data, beside planted ones: precision and recall of what is added."""
+    rows, wanted = [], {}
+    for i in range(200):
+        a, b, c = 200 + 7 * i % 700, 200 + 11 * i % 800, 1000 + 37 * i % 9000
+        number = f"4{c:04d}{a}{b}{c:04d}"
+        good = next(f"{number}{d}" for d in range(10) if luhn(f"{number}{d}"))
+        bad = f"{number}{(int(good[-1]) + 1 + i % 9) % 10}"
+        dotted = ".".join(good[k : k + 4] for k in range(0, 16, 4))
+        for kind, text in (
+            (None, f"the card {good} of it and order {bad} sent"),
+            (None, f"item {bad} in box {a} {b} {c} there"),
+            (None, f"lots 10,20,30,{i % 250} and {a} {c} {b} of 2024-05-17"),
+            (None, f"call me at +1 ({a}) {b}-{c} or see {i % 250}.20.30.40 of it"),
+            ("card", f"credit card {dotted} of it"),
+            ("phone", f"my phone {a} {b}-{c} at home"),
+            ("ip", f"server 192,168,{i % 250},17 of it"),
+            (None, f"mail a{i}.b@host{i % 9}.org now"),
+            ("email", f"mail jo{i} [at] host{i % 9} [dot] org now"),
+        ):
+            wanted[len(rows)] = kind
+            rows.append((len(rows), text))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    base = {k: r.group() for k, t in rows if (r := re.search(r"^(?:the card|call me|mail a)", t))}
+    got = {kind: [0, 0, 0] for kind in pii.KINDS}  # right, wrong, missed
+    for r in pii.personal_data(docs).collect():
+        n_base = r.n_email + r.n_ip + r.n_card + r.n_phone
+        kinds = [s.split(":")[0] for s in r.spans.split(",") if s]
+        assert not base.get(r.doc_id) or n_base
+        added = kinds if not n_base else kinds[n_base:] if len(kinds) > n_base else []
+        for kind in added:
+            got[kind][0 if wanted[r.doc_id] == kind else 1] += 1
+        if wanted[r.doc_id] and wanted[r.doc_id] not in kinds:
+            got[wanted[r.doc_id]][2] += 1
+    for kind, (right, wrong, missed) in got.items():
+        assert right >= 0.95 * (right + wrong) and right >= 0.8 * (right + missed), (kind, got)
+
+
 # --- pages ---------------------------------------------------------------------------
 
 PAGE = (
