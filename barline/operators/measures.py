@@ -62,6 +62,16 @@ def _calls() -> Column:
     return F.count_if(F.col("pos") != 0)
 
 
+# Counts per ticker, by name.
+TALLY = {
+    "hits": _hits,
+    "calls": _calls,
+    "days_long": lambda: F.count_if(F.col("pos") == 1),
+    "days_cash": lambda: F.count_if(F.col("pos") == 0),
+    "days_short": lambda: F.count_if(F.col("pos") == -1),
+}
+
+
 def last_values(fact: DataFrame) -> DataFrame:
     """Cumulated returns per ticker on its last date; the larger one if that date occurs twice.
 
@@ -87,11 +97,7 @@ def ticker_summary(fact: DataFrame) -> DataFrame:
         *last,
         F.sum("gross_ret").alias("gross_ret"),
         *[F.sum(c).alias(c) for c in COSTS],
-        _hits().alias("hits"),
-        _calls().alias("calls"),
-        F.count_if(F.col("pos") == 1).alias("days_long"),
-        F.count_if(F.col("pos") == 0).alias("days_cash"),
-        F.count_if(F.col("pos") == -1).alias("days_short"),
+        *[count().alias(name) for name, count in TALLY.items()],
         F.stddev_samp("net_ret").alias("sd_net"),
         F.stddev_samp("bm_ret").alias("sd_bm"),
     )
@@ -103,9 +109,16 @@ def asset_summary(fact: DataFrame, dim: DataFrame, where: Column | str | None =
 
     Without a filter, traded assets that the dimension lacks have a row as well.
     """
+    return summarised(ticker_summary(fact), dim, where)
+
+
+def summarised(
+    summary: DataFrame, dim: DataFrame, where: Column | str | None = None
+) -> DataFrame:
+    """Rows of ``ticker_summary`` beside the assets in context, as ``asset_summary``."""
     if where is not None:
-        return filtered(dim, where).join(ticker_summary(fact), "ticker", "left")
-    return _named(_known(dim).join(ticker_summary(fact), "ticker", "full"))
+        return filtered(dim, where).join(summary, "ticker", "left")
+    return _named(_known(dim).join(summary, "ticker", "full"))
 
 
 def accuracy(hits: Column, calls: Column) -> Column:
@@ -132,8 +145,12 @@ def kpi_scorecard(
     investment: float = INITIAL_INVESTMENT,
 ) -> DataFrame:
     """One row: summed returns and alpha, accuracy, money and costs."""
-    assets = asset_summary(fact, dim, where).withColumns(money(investment))
-    return assets.agg(
+    return scorecard(asset_summary(fact, dim, where), investment)
+
+
+def scorecard(assets: DataFrame, investment: float = INITIAL_INVESTMENT) -> DataFrame:
+    """The scorecard of rows of ``asset_summary``."""
+    return assets.withColumns(money(investment)).agg(
         F.sum("cum_net").alias("cum_net"),
         F.sum("cum_bm").alias("cum_bm"),
         (F.sum("cum_net") - F.sum("cum_bm")).alias("alpha"),
@@ -217,8 +234,13 @@ def perf_by_asset(
     fact: DataFrame, dim: DataFrame, where: Column | str | None = None
 ) -> DataFrame:
     """Returns, alpha, annualised volatility, accuracy and position days per asset."""
+    return performance(asset_summary(fact, dim, where))
+
+
+def performance(assets: DataFrame) -> DataFrame:
+    """The performance table of rows of ``asset_summary``."""
     year = F.sqrt(F.lit(float(TRADING_DAYS)))
-    return asset_summary(fact, dim, where).select(
+    return assets.select(
         "ticker",
         "asset_class",
         "cum_net",

@@ -3,12 +3,24 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barline import sources, streaming
-from barline.operators import fx, incremental, indicators, labels, ledger, measures, model, regime, samples
+from barline.operators import (
+    cube,
+    fx,
+    incremental,
+    indicators,
+    labels,
+    ledger,
+    measures,
+    model,
+    regime,
+    samples,
+)
 from barline.plans import asof_join, land
 from barline.plans.landing import new_path
 from workload import tables
@@ -531,6 +543,37 @@ def perf_by_asset(spark, folder):
     return rounded(measures.perf_by_asset(*_star(spark, folder)))
 
 
+# Days of the date slicer.
+RANGE = (date(2000, 6, 14), date(2001, 5, 9))
+
+
+def _cube(spark, folder) -> tuple[str, DataFrame]:
+    fact, dim = _star(spark, folder)
+    path = new_path(spark, "cube")
+    cube.store_cube(fact, path)
+    return path, dim
+
+
+@query
+def kpi_scorecard_range(spark, folder):
+    """The scorecard under a date slicer that cuts its first and last month."""
+    path, dim = _cube(spark, folder)
+    return rounded(cube.kpi_scorecard_between(spark, path, dim, *RANGE))
+
+
+@query
+def perf_by_asset_range(spark, folder):
+    path, dim = _cube(spark, folder)
+    return rounded(cube.perf_by_asset_between(spark, path, dim, *RANGE))
+
+
+@query
+def perf_by_asset_since(spark, folder):
+    """From a day to the last one, over whole months but the first."""
+    path, dim = _cube(spark, folder)
+    return rounded(cube.perf_by_asset_between(spark, path, dim, RANGE[0]))
+
+
 @query
 def alpha_by_class(spark, folder):
     return rounded(measures.alpha_by_class(*_star(spark, folder)))
