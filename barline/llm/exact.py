@@ -1,23 +1,30 @@
 """Exact duplicates by a tree merge of sorted digest runs.
 
-Each input partition is a run: its digests, combined before the shuffle, one row per
-different text. In every round ``FAN`` neighbouring runs exchange and merge; the merged
-run keeps one row per digest with the count and the identifier that stays. Digests
-merge only if the SHA-256, a second independent hash and the byte length agree, at
-every level. After the last round the verdicts go down the same tree, so a text with a
-third of all rows meets at most ``FAN`` rows per key on the way, and the documents of
-one run at the bottom. No round gathers a run in one task: keys are (run, digest).
+Each input partition is a run: its digests, combined before the shuffle, one entry per
+different text, in the order of the digests. A run is stored as cells, ranges of the
+digest order that hold some ``CELL`` entries of the whole table each, so no task or row
+ever holds a run. Rounds follow a binomial tree: in a round of ``FAN`` = 4 (two binomial
+steps) a run goes to the run whose number has its last two bits cleared, and up to four
+sorted cells are merged into one. ``sort_array`` of the cells laid end to end is that
+merge: the sort finds the ascending stretches and merges them. Entries then collapse
+only if the SHA-256, a second independent hash and the byte length all agree, at every
+level, and leave their count and the identifier that stays. The root's entries go back
+to the documents through (digest, run), so a text with a third of all rows stays spread.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barline.llm.common import LOWEST, fresh, text_of, with_rows
+from barline.llm.common import LOWEST, fresh, lookup, text_of, with_rows
 from barline.plans import land
 
-FAN = 8
+FAN = 4
+# Entries of the whole table in one range of the digest order, about.
+CELL = 256
 _KEY = ["_sha", "_check", "_bytes"]
 
 
@@ -36,43 +43,78 @@ def digest_runs(docs: DataFrame, text: Column, doc_id: str = "doc_id") -> DataFr
     )
 
 
-def merged_runs(digests: DataFrame, keep: str = "largest", fan: int = FAN) -> DataFrame:
-    """Each digest row with ``_n``, ``_keep_id`` and ``_keep_row`` of its group."""
-    sign = {"largest": 1, "smallest": -1}[keep]
-    rank = F.when(F.col("_id").isNull(), F.lit(LOWEST)).otherwise(F.col("_id") * F.lit(sign))
+def sorted_runs(leaf: DataFrame, cells: int) -> DataFrame:
+    """``_run, _cell, _entries``: the runs of ``leaf``, one sorted array per range of digests.
 
-    def merge(rows: DataFrame, level: int) -> DataFrame:
-        return land(
-            rows.groupBy("_run", *_KEY)
-            .agg(
-                F.sum("_n").alias("_n"),
-                F.max_by("_keep_row", "_rank").alias("_keep_row"),
-                F.max("_rank").alias("_rank"),
+    ``cells`` is a power of two up to 2**48. An entry is (digests, ``_rank``, ``_keep_row``,
+    ``_n``): of equal digests the one with the largest rank, and how many there were.
+    """
+    first = F.conv(F.hex(F.substring("_sha", 1, 6)), 16, 10).cast("bigint")
+    return (
+        leaf.withColumn("_cell", F.shiftright(first, 48 - cells.bit_length() + 1))
+        .groupBy("_run", "_cell", *_KEY)
+        .agg(
+            F.max("_rank").alias("_rank"),
+            F.max_by("_row", "_rank").alias("_keep_row"),
+            F.count(F.lit(1)).alias("_n"),
+        )
+        .groupBy("_run", "_cell")
+        .agg(
+            F.sort_array(F.collect_list(F.struct(*_KEY, "_rank", "_keep_row", "_n"))).alias(
+                "_entries"
             )
-            .sortWithinPartitions("_run", *_KEY),
-            f"run-level-{level}",
         )
+    )
+
+
+def merge_round(runs: DataFrame, fan: int = FAN) -> DataFrame:
+    """One round: cells of up to ``fan`` neighbouring runs meet and merge, equal digests collapse.
+
+    A run names a digest once, so equal digests are at most ``fan`` neighbours after the
+    merge; the last of them has the largest rank and takes the counts of the others.
+    """
+    merged = runs.groupBy(
+        F.floor(F.col("_run") / F.lit(fan)).cast("int").alias("_run"), "_cell"
+    ).agg(F.sort_array(F.flatten(F.collect_list("_entries"))).alias("_entries"))
+
+    def equal(one: Column, other: Column) -> Column:
+        same = F.lit(True)
+        for name in _KEY:
+            same = same & (one[name] == other[name])
+        return F.coalesce(same, F.lit(False))
+
+    def counted(entry: Column, i: Column) -> Column:
+        total = entry["_n"]
+        for back in range(1, fan):
+            other = F.get("_entries", i - F.lit(back))
+            total = total + F.when(equal(entry, other), other["_n"]).otherwise(F.lit(0))
+        follows = F.get("_entries", i + F.lit(1))
+        return F.when(~equal(entry, follows), entry.withField("_n", total))
+
+    return merged.withColumn(
+        "_entries", F.filter(F.transform("_entries", counted), lambda entry: entry.isNotNull())
+    )
+
+
+def merged_runs(
+    digests: DataFrame, keep: str = "largest", fan: int = FAN, cell: int = CELL
+) -> DataFrame:
+    """Each digest row with ``_n``, ``_keep_id`` and ``_keep_row`` of its group."""
+    sign = {"largest": 1, "smallest": -1}[keep]
+    rank = F.when(F.col("_id").isNull(), F.lit(LOWEST)).otherwise(F.col("_id") * F.lit(sign))
+    total, last = digests.agg(F.count(F.lit(1)), F.max("_run")).first()
+    cells = 2 ** min(48, max(0, math.ceil(math.log2(max(total, 1) / cell))))
 
-    leaf = digests.withColumns({"_n": F.lit(1), "_rank": rank, "_keep_row": F.col("_row")})
-    levels = [merge(leaf, 0)]
-    last = digests.agg(F.max("_run")).first()[0] or 0
+    runs = land(sorted_runs(digests.withColumn("_rank", rank), cells), "run-level-0")
+    last, level = last or 0, 0
     while last:
-        last //= fan
-        up = levels[-1].withColumn("_run", F.floor(F.col("_run") / F.lit(fan)).cast("int"))
-        levels.append(merge(up, len(levels)))
-
-    verdict = levels.pop()
-    for depth, level in enumerate(reversed(levels)):
-        children = level.select("_run", *_KEY).withColumn(
-            "_up", F.floor(F.col("_run") / F.lit(fan)).cast("int")
-        )
-        verdict = children.join(verdict.withColumnRenamed("_run", "_up"), ["_up", *_KEY]).drop("_up")
-        if depth < len(levels) - 1:
-            verdict = land(verdict, f"verdict-level-{depth}")
+        last, level = last // fan, level + 1
+        runs = land(merge_round(runs, fan), f"run-level-{level}")
+
+    root = runs.select(F.explode("_entries").alias("_entry")).select("_entry.*")
     keep_id = F.when(F.col("_rank") != LOWEST, F.col("_rank") * F.lit(sign))
-    return digests.join(
-        verdict.select("_run", *_KEY, "_n", "_keep_row", keep_id.alias("_keep_id")),
-        ["_run", *_KEY],
+    return lookup(
+        digests, root.select(*_KEY, "_n", "_keep_row", keep_id.alias("_keep_id")), _KEY
     )
 
 

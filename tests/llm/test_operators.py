@@ -11,6 +11,7 @@ import duckdb
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 from tests.llm.conftest import table_rows
 
 from barline.llm import classifier, exact, html, mixing, packing, pii, rules, sharding, simhash, warc
@@ -58,6 +59,45 @@ def test_exact_duplicates_of_odd_texts(odd, texts, fan):
     assert Counter(r.text_sha256 for r in found if r.kept) == dict.fromkeys(groups, 1)
 
 
+@pytest.mark.parametrize("fan", [2, 4])
+def test_rounds_merge_sorted_runs(spark, documents, fan):
+    """Every round leaves sorted cells with one entry a digest, and loses no row and no largest id."""
+    copies = documents.where("doc_id % 3 = 0").selectExpr("doc_id + 1000000 AS doc_id", "text")
+    docs = documents.select("doc_id", "text").union(copies).union(copies).repartition(11)
+    digests = exact.digest_runs(docs, F.coalesce("text", F.lit("")))
+    rows = digests.collect()
+    runs = exact.sorted_runs(digests.withColumn("_rank", F.col("_id")), 8)
+    last = max(r._run for r in rows)
+    width = 1
+    while True:
+        slow = defaultdict(list)
+        for r in rows:
+            slow[r._run // width, bytes(r._sha)].append(r._id)
+        found = {}
+        for cell in runs.collect():
+            shas = [bytes(e._sha) for e in cell._entries]
+            assert shas == sorted(set(shas))
+            assert {sha[0] >> 5 for sha in shas} == {cell._cell}
+            for e in cell._entries:
+                assert (cell._run, bytes(e._sha)) not in found
+                found[cell._run, bytes(e._sha)] = (e._n, e._rank)
+        assert found == {key: (len(ids), max(ids)) for key, ids in slow.items()}
+        if last // width == 0:
+            break
+        runs, width = exact.merge_round(runs, fan), width * fan
+
+
+def test_digests_that_differ_in_one_part_stay_apart(spark):
+    """Entries collapse only if SHA-256, second hash and length all agree, also across runs."""
+    key = (bytearray(32), 1, 5)
+    rows = [(r, r, r, *key) for r in range(6)] + [(6, 6, 6, bytearray(32), 2, 5), (7, 7, 7, bytearray(32), 1, 6)]
+    digests = spark.createDataFrame(
+        rows, "_row bigint, _run int, _id bigint, _sha binary, _check bigint, _bytes int"
+    )
+    found = {r._row: (r._n, r._keep_id) for r in exact.merged_runs(digests, "smallest").collect()}
+    assert found == {**dict.fromkeys(range(6), (6, 0)), 6: (1, 6), 7: (1, 7)}
+
+
 def test_without_copies_keeps_one_row_and_all_columns(odd):
     left = exact.without_copies(odd)
     assert left.columns == odd.columns
