@@ -12,7 +12,7 @@ from workload.queries import QUERIES
 FOLDER = "/root/testdata/sf0.001"
 MODELS = {
     "model_scores_pooled", "model_scores_per_ticker", "model_strategy_fact", "class_moments",
-    "model_score_rows",
+    "model_score_rows", "model_scores_sequence", "sequence_scores_small", "fold_losses",
 }
 STREAMS = {
     "stream_ingest_bars", "stream_hourly_bars", "stream_latest_signal", "stream_master_features",

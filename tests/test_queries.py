@@ -19,6 +19,10 @@ CROSS_SECTION = (
     "kpi_scorecard",
     "equity_curve",
     "cost_impact",
+    "recurrent_states",
+    "walk_forward_folds",
+    "fold_losses",
+    "sequence_scores_small",
     "stream_hourly_bars",
     "stream_latest_signal",
 )
@@ -38,7 +42,9 @@ def test_query_equals_its_sql(spark, sql, name):
 
 def test_every_query_has_sql_but_the_models():
     missing = set(QUERIES) - set(ORACLE)
-    assert missing == {"model_scores_pooled", "model_scores_per_ticker", "model_strategy_fact"}
+    assert missing == {
+        "model_scores_pooled", "model_scores_per_ticker", "model_scores_sequence", "model_strategy_fact",
+    }
     assert not set(ORACLE) - set(QUERIES)
 
 

@@ -20,6 +20,7 @@ from barline.operators import (
     model,
     regime,
     samples,
+    sequence,
 )
 from barline.plans import asof_join, land
 from barline.plans.landing import new_path
@@ -651,6 +652,61 @@ def model_score_rows(spark, folder):
     )
 
 
+@query
+def recurrent_states(spark, folder):
+    """A state of two numbers for every sample."""
+    state = F.col("state")
+    return rounded(
+        sequence.recurrent_states(_samples(spark, folder), 2).select(
+            "ticker", "split", "dt", state[0].alias("state_0"), state[1].alias("state_1")
+        )
+    )
+
+
+@query
+def walk_forward_folds(spark, folder):
+    """What each fold learns from and what it is validated on."""
+    per_part = (
+        sequence.walk_forward(_samples(spark, folder))
+        .groupBy("win", "stretch", "first_fold")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("dt").alias("first"), F.max("dt").alias("last"))
+    )
+    folds = F.sequence(F.lit(1), F.lit(sequence.FOLDS))
+    learns, judged = F.col("first_fold") <= F.col("fold"), F.col("stretch") == F.col("fold")
+    return (
+        per_part.withColumn("fold", F.explode(folds))
+        .groupBy("win", "fold")
+        .agg(
+            F.coalesce(F.sum(F.when(learns, F.col("n"))), F.lit(0)).alias("train_rows"),
+            F.max(F.when(learns, F.col("last"))).alias("last_train_dt"),
+            F.sum(F.when(judged, F.col("n"))).alias("valid_rows"),
+            F.min(F.when(judged, F.col("first"))).alias("first_valid_dt"),
+            F.max(F.when(judged, F.col("last"))).alias("last_valid_dt"),
+        )
+        .where(F.col("valid_rows") > 0)
+    )
+
+
+@query
+def fold_losses(spark, folder):
+    """The losses of a readout of the last return, for every fold and ridge."""
+    rows = sequence.walk_forward(_samples(spark, folder)).withColumn(
+        "features", F.array(F.element_at("x", -1)[0])
+    )
+    return rounded(sequence.fold_losses(sequence.fold_products(rows)))
+
+
+@query
+def sequence_scores_small(spark, folder):
+    """Scores by a state of one number: states, folds, choice of the ridge, fit and scores."""
+    return rounded(sequence.sequence_scores(_samples(spark, folder), width=1))
+
+
+@query
+def model_scores_sequence(spark, folder):
+    return sequence.sequence_scores(_samples(spark, folder))
+
+
 @query
 def model_strategy_fact(spark, folder):
     """The whole chain from bars to the ledger of a fitted model."""
