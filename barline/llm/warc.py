@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import gzip
 import io
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,8 +22,10 @@ from barline.plans import drop_landed, land, landed
 from barline.plans.landing import new_path
 
 SMALLEST_REVISIT = 100
-# Captures in one archive file; with whole files read per task this bounds a task.
-FILE_RECORDS = 3 * 512
+# Bytes of a capture (payload and three times its URL) up to a limit, and how many of those captures
+# share a file: a file holds 32 MiB, 64 MiB, or one larger capture. As a file is read whole,
+# this bounds a task.
+SIZES = ((64 << 10, 512), (2 << 20, 32), (None, 1))
 END = "\r\n"
 DATE = "2024-01-01T00:00:00Z"
 
@@ -154,16 +156,33 @@ def records(found: DataFrame) -> DataFrame:
     )
 
 
-def write_archives(found: DataFrame, path: str, file_records: int = FILE_RECORDS) -> None:
-    """Write the captures of ``captures()`` as gzipped WARC files under ``path``."""
-    (
-        records(found)
-        .write.option("lineSep", END + END)
-        .option("compression", "gzip")
-        .option("maxRecordsPerFile", file_records)
-        .mode("errorifexists")
-        .text(path)
-    )
+def write_archives(
+    found: DataFrame, path: str, sizes: Sequence[tuple[int | None, int]] = SIZES
+) -> None:
+    """Write the captures of ``captures()`` as gzipped WARC files under ``path``.
+
+    ``sizes`` are (bytes of a capture at most, captures in a file) from small to large,
+    the last without a limit. Captures of each class of size get files of their own.
+    """
+    # a revisit has no payload
+    size = F.when(F.col("_of").isNull(), F.col("_bytes")).otherwise(F.lit(0)) + F.lit(
+        3
+    ) * F.octet_length("_url")
+    largest = found.agg(F.max(size)).first()[0] or 0
+    least, mode = None, "errorifexists"
+    for most, together in sizes:
+        some = found if least is None else found.where(size > least)
+        (
+            records(some if most is None else some.where(size <= most))
+            .write.option("lineSep", END + END)
+            .option("compression", "gzip")
+            .option("maxRecordsPerFile", 3 * together)
+            .mode(mode)
+            .text(path)
+        )
+        if most is None or largest <= most:
+            break
+        least, mode = most, "append"
 
 
 def parse_records(raw: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -243,7 +262,11 @@ def assemble(found: DataFrame) -> DataFrame:
     )
 
 
-def archived(pages: DataFrame, smallest: int = SMALLEST_REVISIT) -> DataFrame:
+def archived(
+    pages: DataFrame,
+    smallest: int = SMALLEST_REVISIT,
+    sizes: Sequence[tuple[int | None, int]] = SIZES,
+) -> DataFrame:
     """Write ``pages`` as archives in the shared folder, read them back, one row per page:
     page_id, payload_bytes, payload_digest, record_type, refers_to.
 
@@ -255,7 +278,7 @@ def archived(pages: DataFrame, smallest: int = SMALLEST_REVISIT) -> DataFrame:
     spark = pages.sparkSession
     path = new_path(spark, "warc")
     before = set(landed(spark))
-    write_archives(captures(pages, smallest), path)
+    write_archives(captures(pages, smallest), path, sizes)
     # The archives hold everything from here on.
     drop_landed(spark, [p for p in landed(spark) if p not in before])
     found = read_records(spark, path).withColumns(

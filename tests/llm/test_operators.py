@@ -783,6 +783,46 @@ def test_pages_of_the_test_data(spark, folder):
         assert r.text == " ".join(unescape(re.sub(r"</?[a-zA-Z][^>]*>", "", inner)).split())
 
 
+def test_archives_are_bounded_by_bytes(spark, tmp_path):
+    """Files of small captures hold many, of large ones few or one; nothing is lost or changed."""
+    sizes, url = ((120, 8), (2_000, 3), (None, 1)), "http://a/"
+    rows = [(i, url, chr(97 + i % 26) * (11 + 37 * i)) for i in range(150)]
+    rows += [(200 + i, url, rows[149][2]) for i in range(20)]  # revisits of the largest
+    rows += [(300, "u" * 5_000, "long name")]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(2)
+    warc.write_archives(warc.captures(pages), f"{tmp_path}/warc", sizes)
+    records = 0
+    for raw in spark.read.format("binaryFile").load(f"{tmp_path}/warc").collect():
+        blocks = [
+            len(block.partition(b"\r\n\r\n")[2]) + 3 * len(h["warc-target-uri"])
+            for h, block in warc.parse_records(raw.content)
+            if "msgtype=response" in h["content-type"]
+        ]
+        records += len(blocks)
+        assert any(
+            len(blocks) <= together and max(blocks) <= (most or max(blocks))
+            for most, together in sizes
+        )
+    assert records == len(rows)
+    whole = Counter(tuple(r) for r in warc.archived(pages).collect())
+    assert Counter(tuple(r) for r in warc.archived(pages, sizes=sizes).collect()) == whole
+
+
+def test_archives_of_very_long_pages(spark):
+    """Pages of some 50 MB, two of them equal, have files of their own."""
+    pages = spark.range(3).selectExpr(
+        "id AS page_id", "'u' AS url", "repeat(concat('<p>', id % 2, ' text'), 5000000) AS html"
+    )
+    found = sorted(tuple(r) for r in warc.archived(pages).collect())
+    sha = lambda i: hashlib.sha256(f"<p>{i} text".encode() * 5_000_000).hexdigest()
+    size = 9 * 5_000_000
+    assert found == [
+        (0, size, sha(0), "response", None),
+        (1, size, sha(1), "response", None),
+        (2, size, sha(0), "revisit", 0),
+    ]
+
+
 def test_archives_of_odd_pages(spark):
     body = "<p>" + "text \r\n\r\n WARC/1.1 " * 20 + "ü</p>"
     rows = [
