@@ -63,10 +63,12 @@ def captures(pages: DataFrame, smallest: int = SMALLEST_REVISIT) -> DataFrame:
         .where("_n > 1")
     )
     narrow = rows.select("_row", "_run", "_digest", "_bytes").where(F.col("_bytes") >= smallest)
-    revisits = (
+    # Every write of archives reads it; landed, it is worked out once and has a known size.
+    revisits = land(
         lookup(narrow, first, ["_digest"])
         .where(F.col("_row") != F.col("_first"))
-        .select("_row", F.col("_first").alias("_of"), F.col("_first_id").alias("_of_id"))
+        .select("_row", F.col("_first").alias("_of"), F.col("_first_id").alias("_of_id")),
+        "revisits",
     )
     return rows.join(revisits, "_row", "left")
 
@@ -162,27 +164,41 @@ def write_archives(
     """Write the captures of ``captures()`` as gzipped WARC files under ``path``.
 
     ``sizes`` are (bytes of a capture at most, captures in a file) from small to large,
-    the last without a limit. Captures of each class of size get files of their own.
+    the last without a limit. Captures of each class of size get files of their own;
+    revisits, which have no payload, too.
+
+    A class goes by columns of the page alone, so its rows are chosen before they are
+    joined with what they revisit: a payload is shuffled at most once, however many
+    classes there are. The writes of revisits read no payloads.
     """
-    # a revisit has no payload
-    size = F.when(F.col("_of").isNull(), F.col("_bytes")).otherwise(F.lit(0)) + F.lit(
-        3
-    ) * F.octet_length("_url")
-    largest = found.agg(F.max(size)).first()[0] or 0
-    least, mode = None, "errorifexists"
-    for most, together in sizes:
-        some = found if least is None else found.where(size > least)
+    url = F.lit(3) * F.octet_length("_url")
+    revisit = F.col("_of").isNotNull()
+
+    def class_of(size: Column) -> Column:
+        found_in = F.lit(len(sizes) - 1)
+        for i in range(len(sizes) - 2, -1, -1):
+            found_in = F.when(size <= sizes[i][0], i).otherwise(found_in)
+        return found_in
+
+    kinds = {
+        False: (found.where(~revisit), class_of(F.col("_bytes") + url)),
+        True: (found.where(revisit).withColumn("_html", F.lit("")), class_of(url)),
+    }
+    occurring = [
+        (kind, i)
+        for kind, (rows, its_class) in kinds.items()
+        for (i,) in sorted(rows.select(its_class).distinct().collect())
+    ]
+    for n, (kind, i) in enumerate(occurring or [(False, 0)]):
+        rows, its_class = kinds[kind]
         (
-            records(some if most is None else some.where(size <= most))
+            records(rows.where(its_class == i))
             .write.option("lineSep", END + END)
             .option("compression", "gzip")
-            .option("maxRecordsPerFile", 3 * together)
-            .mode(mode)
+            .option("maxRecordsPerFile", 3 * sizes[i][1])
+            .mode("append" if n else "errorifexists")
             .text(path)
         )
-        if most is None or largest <= most:
-            break
-        least, mode = most, "append"
 
 
 def parse_records(raw: bytes) -> Iterator[tuple[dict[str, str], bytes]]:

@@ -808,6 +808,45 @@ def test_archives_are_bounded_by_bytes(spark, tmp_path):
     assert Counter(tuple(r) for r in warc.archived(pages, sizes=sizes).collect()) == whole
 
 
+def _shuffled(plan):
+    """Bytes of rows that the exchanges of a plan that has run have taken."""
+    if plan.nodeName() == "AdaptiveSparkPlan":
+        return _shuffled(plan.executedPlan())
+    if plan.nodeName().endswith("QueryStage"):
+        return _shuffled(plan.plan())
+    own = plan.metrics().apply("dataSize").value() if plan.nodeName() == "Exchange" else 0
+    children = plan.children()
+    return own + sum(_shuffled(children.apply(i)) for i in range(children.size()))
+
+
+def test_archives_shuffle_a_payload_at_most_once(spark, tmp_path, monkeypatch):
+    """However many classes of size there are, and where what is revisited is not broadcast."""
+    sizes = ((2_000, 8), (4_000, 4), (8_000, 2), (None, 1))
+    pages = spark.range(200).selectExpr(
+        "id AS page_id", "'http://h/' AS url", "repeat(id, 50 + 100 * pmod(id, 40)) AS html"
+    )
+    pages = pages.union(pages.selectExpr("page_id + 1000", "url", "html").where("page_id > 149"))
+    payload = pages.selectExpr("sum(octet_length(html))").first()[0]
+    written, write_records = [], warc.records
+
+    def watched(found):
+        found.collect()
+        written.append(_shuffled(found._jdf.queryExecution().executedPlan()))
+        return write_records(found)
+
+    broadcast = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        monkeypatch.setattr(warc, "records", watched)
+        warc.write_archives(warc.captures(pages), f"{tmp_path}/warc", sizes)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    assert len(written) >= len(sizes)
+    assert payload < sum(written) < 1.5 * payload
+    kinds = Counter(r.type for r in warc.read_records(spark, f"{tmp_path}/warc").collect())
+    assert kinds == {"response": 200, "revisit": 50, "request": 250, "metadata": 250}
+
+
 def test_archives_of_very_long_pages(spark):
     """Pages of some 50 MB, two of them equal, have files of their own."""
     pages = spark.range(3).selectExpr(
